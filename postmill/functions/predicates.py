@@ -75,8 +75,8 @@ def retry_delay(attempt: Column, status_code: Column, retry_after: Column, now:
     )
     wait = (F.unix_micros(due) - F.unix_micros(now)) / F.lit(1e6)
     asked = F.coalesce(
-        F.when(F.isnan(seconds), F.lit(0.0)).otherwise(F.greatest(seconds, F.lit(0.0))),
-        F.greatest(wait, F.lit(0.0)),
+        F.when(F.isnan(seconds), F.lit(0.0)).when(seconds.isNotNull(), F.greatest(seconds, F.lit(0.0))),
+        F.when(wait.isNotNull(), F.greatest(wait, F.lit(0.0))),
         backoff,
     )
     told = (status_code == 429) & (blank_if_null(retry_after) != "")
