@@ -166,3 +166,8 @@ def is_legacy_ats(url: Column) -> Column:
 def run_path(*parts: Column | str) -> Column:
     """Slash-joined artifact path."""
     return F.concat_ws("/", *[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+
+def spread_blank(url: Column, *ids: str) -> Column:
+    """Join key of an address. Blank ones match nothing, so each gets a value of its own."""
+    return F.when(url == "", F.concat(F.lit(" "), F.xxhash64(*ids).cast("string"))).otherwise(url)

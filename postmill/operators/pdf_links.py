@@ -8,6 +8,7 @@ from postmill.functions.scoring import pdf_score
 from postmill.functions.text import keywords
 from postmill.functions.urls import content_kind, join_url, join_urls
 from postmill.operators.dedupe import first_in_array
+from postmill.session import settle
 
 
 def first_pdf_href(outline: Column) -> Column:
@@ -114,7 +115,8 @@ def with_pdf_link(
         pdfs = F.filter(fit, lambda c: content_kind(c["url"]) == "pdf")
         best = F.coalesce(F.array_max(pdfs)["url"], F.lit(""))
         return df.withColumn("pdf_link", best).drop("_words", "_threshold")
-    df = df.withColumn("_fit", fit)
+    # Read twice below, so the candidates are written once.
+    df = settle(df.withColumn("_fit", fit), "candidates")
     known = headers.groupBy("url").agg(F.max("content_type_header").alias("_header"))
     chosen = (
         df.select(row_key, F.explode("_fit").alias("_c"))

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from postmill.functions.predicates import is_enriched
 from postmill.functions.text import blank_if_null, strip
+from postmill.functions.urls import spread_blank
 from postmill.operators.dedupe import last_row
 
 
@@ -15,26 +16,19 @@ def reusable(prior: DataFrame, order: str = "index") -> DataFrame:
     return last_row(done, ["org_abbrev", "url"], [order])
 
 
-def _spread_key(url):
-    """Blank addresses never match; a salt keeps them from meeting in one task."""
-    return F.when(url == "", F.pmod(F.xxhash64("org_abbrev", "job_index"), F.lit(1024))).otherwise(F.lit(0))
-
-
 def with_prior(listings: DataFrame, prior: DataFrame, force: bool = False) -> DataFrame:
     """Add the reusable earlier row as struct `prior`, null where there is none."""
     listings = listings.withColumn("url", strip(blank_if_null(F.col("url"))))
     done = reusable(prior.limit(0) if force else prior)
-    build = done.select(
-        "org_abbrev", "url", F.lit(0).cast("bigint").alias("_salt"), F.struct(*done.columns).alias("prior")
-    )
-    salted = listings.withColumn("_salt", _spread_key(F.col("url")).cast("bigint"))
-    return salted.join(build, ["org_abbrev", "url", "_salt"], "left").drop("_salt")
+    build = done.select("org_abbrev", F.col("url").alias("_key"), F.struct(*done.columns).alias("prior"))
+    keyed = listings.withColumn("_key", spread_blank(F.col("url"), "org_abbrev", "job_index"))
+    return keyed.join(build, ["org_abbrev", "_key"], "left").drop("_key")
 
 
 def work_list(listings: DataFrame, prior: DataFrame, force: bool = False) -> DataFrame:
     """Listings that still have to be fetched."""
     listings = listings.withColumn("url", strip(blank_if_null(F.col("url"))))
     done = reusable(prior.limit(0) if force else prior)
-    build = done.select("org_abbrev", "url", F.lit(0).cast("bigint").alias("_salt"))
-    salted = listings.withColumn("_salt", _spread_key(F.col("url")).cast("bigint"))
-    return salted.join(build, ["org_abbrev", "url", "_salt"], "left_anti").drop("_salt")
+    build = done.select("org_abbrev", F.col("url").alias("_key"))
+    keyed = listings.withColumn("_key", spread_blank(F.col("url"), "org_abbrev", "job_index"))
+    return keyed.join(build, ["org_abbrev", "_key"], "left_anti").drop("_key")

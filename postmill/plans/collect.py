@@ -6,6 +6,7 @@ from postmill.functions.predicates import looks_blocked
 from postmill.operators.breaker import with_breaker
 from postmill.operators.positions import chunk_of, first_n
 from postmill.plans.resolution import listing_detail, result
+from postmill.session import settle
 
 # Where a row's result came from; events differ by it.
 CACHED, SKIPPED, DETAIL, FETCHED = "cached", "skipped", "detail", "fetched"
@@ -18,14 +19,15 @@ def rate_limited(res: Column) -> Column:
 def settle_outcomes(
     rows: DataFrame, chunk: Column | None = None, transparent: Column | None = None
 ) -> DataFrame:
-    """Apply listing details and the breaker.
+    """Apply listing details and the breaker. The rows are written once, so that the breaker's second
+    look at them does not read and parse their pages again.
 
     Needs `org_abbrev, job_index, res, fetch_seconds, error` and `detail` (struct or null). Adds
     `origin` and `opens_breaker`, and replaces the three outcome columns.
     """
     passed = F.lit(False) if transparent is None else transparent
     has_detail = F.col("detail").isNotNull()
-    rows = rows.withColumn("_limited", ~has_detail & rate_limited(F.col("res")))
+    rows = settle(rows.withColumn("_limited", ~has_detail & rate_limited(F.col("res"))), "outcomes")
     chunk = chunk_of(F.col("job_index")) if chunk is None else chunk
     rows = with_breaker(rows, "org_abbrev", "job_index", F.col("_limited"), chunk, transparent)
     skip = result("error", "", "", "blocked_source", "org_rate_limited_skip", "http")

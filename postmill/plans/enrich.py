@@ -59,7 +59,7 @@ def enrich_outcomes(
     reused = F.struct(*[p[f.name].alias(f.name) for f in kind.fields])
     rest = rows.filter(~to_read).withColumns(
         {
-            "res": F.when(known, reused).cast(kind),
+            "res": F.when(known, reused),
             "fetch_seconds": F.lit(0.0),
             "error": F.lit(""),
         }

@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from postmill import constants as C
 from postmill.functions.predicates import classify_error, has_js_marker, has_listing_detail, is_short
 from postmill.functions.text import blank_if_null, slug, strip
-from postmill.functions.urls import content_kind, run_path, table_row_index, url_host
+from postmill.functions.urls import content_kind, run_path, spread_blank, table_row_index, url_host
 from postmill.operators.dedupe import first_row
 from postmill.operators.pdf_links import with_pdf_link
 from postmill.operators.rules import flag_equal, flag_inside
@@ -53,14 +53,16 @@ def resolve(
         F.concat(F.lit("job-"), F.col("job_index").cast("string"))
     ))
     one_per_url = first_row(facts, ["url"], ["page_id"])
-    rows = rows.join(one_per_url.drop("page_id"), "url", "left")
+    rows = rows.withColumn("_page_url", spread_blank(url, "org_abbrev", "job_index"))
+    rows = rows.join(one_per_url.drop("page_id").withColumnRenamed("url", "_page_url"), "_page_url", "left")
     rows = with_pdf_link(rows, F.col("_title"), F.col("_prefers_pdf"), "_row", headers)
     header = None
     if headers is not None:
-        known = headers.groupBy("url").agg(F.max("content_type_header").alias("_header"))
-        rows, header = rows.join(known, "url", "left"), F.col("_header")
+        known = headers.groupBy(F.col("url").alias("_page_url")).agg(F.max("content_type_header").alias("_header"))
+        rows, header = rows.join(known, "_page_url", "left"), F.col("_header")
     if rendered is not None:
-        rows = rows.join(rendered.groupBy("url").agg(F.max("rendered_text").alias("rendered_text")), "url", "left")
+        shown_pages = rendered.groupBy(F.col("url").alias("_page_url"))
+        rows = rows.join(shown_pages.agg(F.max("rendered_text").alias("rendered_text")), "_page_url", "left")
     else:
         rows = rows.withColumn("rendered_text", F.lit(None).cast("string"))
     page_text, shown = blank_if_null(F.col("description")), blank_if_null(F.col("rendered_text"))
