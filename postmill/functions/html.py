@@ -226,6 +226,14 @@ def json_leaves(bodies: pa.Array) -> pa.Array:
     return pa.array(rows, kind)
 
 
+# Parsing is costly and the optimizer does not know it: a filter on a parsed value would be pushed below
+# the parse as a second copy of it. Declared nondeterministic, each of these runs once per row.
+html_outline = html_outline.asNondeterministic()
+html_text = html_text.asNondeterministic()
+html_texts = html_texts.asNondeterministic()
+json_leaves = json_leaves.asNondeterministic()
+
+
 def pieces(outline: Column, node: Column, keep_noise: bool = True) -> Column:
     """Text pieces below a node, in page order."""
     part = F.slice(outline["segments"], node["first"] + 1, node["last"] - node["first"])

@@ -8,6 +8,7 @@ from postmill.functions.html import anchors, html_outline, node_text
 from postmill.functions.text import collapse_space, contains_any, strip
 from postmill.functions.urls import join_urls, prefix_url
 from postmill.operators.dedupe import dedupe_listings, first_in_array
+from postmill.operators.rows import unnest
 
 
 def with_outline(pages: DataFrame) -> DataFrame:
@@ -16,7 +17,7 @@ def with_outline(pages: DataFrame) -> DataFrame:
 
 
 def _exploded(df: DataFrame, keep: Sequence[str], *fields: Column) -> DataFrame:
-    rows = df.select(*keep, F.explode("_links").alias("_link"))
+    rows = unnest(df, *keep, array="_links", item="_link")
     return rows.select(*keep, F.col("_link.pos").alias("pos"), *fields)
 
 

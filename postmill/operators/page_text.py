@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from postmill import constants as C
 from postmill.functions.html import css_token, html_outline, html_texts, json_leaves, node_text, pieces
 from postmill.functions.scoring import fragment_score, leaf_score
-from postmill.functions.text import cap_description, clean_text, null_if_blank, strip, unescape_marks
+from postmill.functions.text import bind, cap_description, clean_text, null_if_blank, strip, unescape_marks
 from postmill.functions.urls import percent_decode
 
 
@@ -75,9 +75,11 @@ def with_main_text(pages: DataFrame, out: str = "main_text") -> DataFrame:
             F.struct(c["size"], c["first"], c["last"], c["rank"])
         )
 
-    pages = pages.withColumn("_pick", F.aggregate("_ranked", start, better))
-    text = F.array_join(F.filter(below(F.col("_pick")), lambda t: t != ""), "\n")
-    return pages.withColumn(out, cap_description(text)).drop("_cleaned", "_ranked", "_pick")
+    text = bind(
+        F.aggregate("_ranked", start, better),
+        lambda pick: F.array_join(F.filter(below(pick), lambda t: t != ""), "\n"),
+    )
+    return pages.withColumn(out, cap_description(text)).drop("_cleaned", "_ranked")
 
 
 def with_leaf_text(pages: DataFrame, wanted: Column, out: str = "leaf_text") -> DataFrame:

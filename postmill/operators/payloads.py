@@ -7,6 +7,7 @@ from postmill.functions.html import html_text, html_texts
 from postmill.functions.text import cap_description, clean_text, null_if_blank, section_text, strip
 from postmill.functions.urls import detail_api_url, site_url, vacancy_key, vacancy_number
 from postmill.operators.dedupe import first_row
+from postmill.operators.rows import unnest
 
 _NESTED = "jobPostingInfo struct<jobDescription: string, description: string>"
 _VACANCIES = T.ArrayType(
@@ -35,7 +36,7 @@ def nested_texts(payloads: DataFrame) -> DataFrame:
 
 def vacancy_rows(payloads: DataFrame) -> DataFrame:
     """One row per vacancy of the list payloads; the first of equal ids wins."""
-    rows = payloads.select("api_url", F.posexplode(F.from_json("body", _VACANCIES)).alias("pos", "v"))
+    rows = unnest(payloads, "api_url", array=F.from_json("body", _VACANCIES), item="v", pos="pos")
     rows = rows.filter(F.col("v.jobVacancyId").isNotNull()).select(
         "api_url", F.col("v.jobVacancyId").alias("vacancy_id"), "pos", "v"
     )

@@ -8,6 +8,7 @@ from postmill.functions.scoring import pdf_score
 from postmill.functions.text import keywords
 from postmill.functions.urls import content_kind, join_url, join_urls
 from postmill.operators.dedupe import first_in_array
+from postmill.operators.rows import unnest
 from postmill.session import settle
 
 
@@ -28,11 +29,8 @@ def first_pdf_link(outline: Column, page_url: Column) -> Column:
     return F.coalesce(join_url(page_url, first_pdf_href(outline)), F.lit(""))
 
 
-def with_pdf_candidates(pages: DataFrame) -> DataFrame:
-    """Add `pdf_candidates`: anchors first, then addresses in raw text, first per address.
-
-    Needs `url`, `html` and `outline`.
-    """
+def with_pdf_mentions(pages: DataFrame) -> DataFrame:
+    """Add the anchors and raw addresses that may be PDFs. Afterwards `html` and `outline` can go."""
     outline = F.col("outline")
     texts = F.transform(
         F.filter(anchors(outline), lambda n: n["href"] != ""),
@@ -52,14 +50,36 @@ def with_pdf_candidates(pages: DataFrame) -> DataFrame:
             | F.contains(both, F.lit("download pdf"))
         )
 
+    described = F.transform(
+        F.filter(texts, mentions_pdf),
+        lambda x: F.struct(
+            x["href"].alias("href"),
+            x["text"].alias("text"),
+            F.substring(outer_text(outline, x, " "), 1, C.CONTEXT_CHARS).alias("context"),
+        ),
+    )
     plain = F.replace(F.col("html"), F.lit("\\/"), F.lit("/"))
-    found = pages.withColumns(
+
+    def found(pattern: str) -> Column:
+        has_any = F.contains(F.lower(F.col("html")), F.lit(".pdf"))
+        every = F.regexp_extract_all(plain, F.lit(pattern), F.lit(0))
+        return F.when(has_any, every).otherwise(F.array().cast("array<string>"))
+
+    return pages.withColumns(
         {
-            "_anchors": F.filter(texts, mentions_pdf),
-            "_absolute": F.regexp_extract_all(plain, F.lit(C.RAW_PDF_URL), F.lit(0)),
-            "_rooted": F.regexp_extract_all(plain, F.lit(C.RAW_PDF_PATH), F.lit(0)),
+            "_anchors": described,
+            "_absolute": found(C.RAW_PDF_URL),
+            "_rooted": found(C.RAW_PDF_PATH),
         }
     )
+
+
+def with_pdf_candidates(pages: DataFrame) -> DataFrame:
+    """Add `pdf_candidates`: anchors first, then addresses in raw text, first per address.
+
+    Needs `url` and the mentions, or `html` and `outline` to find them in.
+    """
+    found = pages if "_anchors" in pages.columns else with_pdf_mentions(pages)
     hrefs = F.concat(F.transform("_anchors", lambda x: x["href"]), F.col("_rooted"))
     found = found.withColumn("_urls", join_urls(F.col("url"), hrefs))
     split = F.size("_anchors")
@@ -67,9 +87,7 @@ def with_pdf_candidates(pages: DataFrame) -> DataFrame:
         F.col("_anchors"),
         F.slice("_urls", F.lit(1), split),
         lambda x, url: F.struct(
-            url.alias("url"),
-            x["text"].alias("text"),
-            F.substring(outer_text(outline, x, " "), 1, C.CONTEXT_CHARS).alias("context"),
+            url.alias("url"), x["text"].alias("text"), x["context"].alias("context")
         ),
     )
     raw = F.concat(F.col("_absolute"), F.slice("_urls", split + 1, F.size("_rooted")))
@@ -81,7 +99,9 @@ def with_pdf_candidates(pages: DataFrame) -> DataFrame:
     )
     placed = F.transform(
         F.concat(from_anchors, from_text),
-        lambda x, i: F.struct(i.alias("pos"), x["url"], x["text"], x["context"]),
+        lambda x, i: F.struct(
+            i.alias("pos"), x["url"].alias("url"), x["text"].alias("text"), x["context"].alias("context")
+        ),
     )
     found = found.withColumn("pdf_candidates", placed)
     unique = first_in_array(found, "pdf_candidates", "url")
@@ -119,7 +139,7 @@ def with_pdf_link(
     df = settle(df.withColumn("_fit", fit), "candidates")
     known = headers.groupBy("url").agg(F.max("content_type_header").alias("_header"))
     chosen = (
-        df.select(row_key, F.explode("_fit").alias("_c"))
+        unnest(df, row_key, array="_fit", item="_c")
         .select(row_key, "_c", F.col("_c.url").alias("url"))
         .join(known, "url", "left")
         .filter(content_kind(F.col("url"), F.col("_header")) == "pdf")

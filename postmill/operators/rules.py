@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from postmill import constants as C
+from postmill.operators.rows import unnest
 
 
 def rule_values(rules: DataFrame, rule: str, limit: int) -> list[str] | None:
@@ -55,7 +56,7 @@ def flag_inside(
     )
     hosts = df.select("_text").filter(F.col("_text") != "").distinct()
     hits = (
-        hosts.select("_text", F.explode(F.array_distinct(cuts)).alias("value"))
+        unnest(hosts, "_text", array=F.array_distinct(cuts), item="value")
         .join(_values(rules, rule), "value", "left_semi")
         .select("_text")
         .distinct()

@@ -2,6 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from postmill.operators.rows import unnest
+
 # --- fixed values: field -> allowed JSON types -------------------------------
 ORG_TYPES = {
     "org_abbrev": ("STRING",),
@@ -52,11 +54,9 @@ def bad_fields(lines: DataFrame) -> DataFrame:
     """Wrong fields of block lines `(value)`: organisation, job position (null for the block), field."""
     blocks = lines.select(F.try_parse_json("value").alias("block"))
     org = F.try_variant_get("block", "$.org_abbrev", "string").alias("org_abbrev")
-    own = blocks.select(
-        org, F.lit(None).cast("int").alias("job_pos"), F.explode(_bad_fields(F.col("block"), ORG_TYPES)).alias("b")
-    )
-    jobs = blocks.select(
-        org, F.posexplode(F.try_variant_get("block", "$.jobs", "array<variant>")).alias("job_pos", "job")
-    )
-    inner = jobs.select("org_abbrev", "job_pos", F.explode(_bad_fields(F.col("job"), JOB_TYPES)).alias("b"))
+    no_job = F.lit(None).cast("int").alias("job_pos")
+    own = unnest(blocks, org, no_job, array=_bad_fields(F.col("block"), ORG_TYPES), item="b")
+    listed = F.try_variant_get("block", "$.jobs", "array<variant>")
+    jobs = unnest(blocks, org, array=listed, item="job", pos="job_pos")
+    inner = unnest(jobs, "org_abbrev", "job_pos", array=_bad_fields(F.col("job"), JOB_TYPES), item="b")
     return own.unionByName(inner).select("org_abbrev", "job_pos", "b.field", "b.found")

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from postmill import constants as C
 from postmill.functions.text import iso_utc, word_count
+from postmill.operators.rows import unnest
 from postmill.plans.collect import CACHED, FETCHED
 from postmill.schemas import EVENT
 
@@ -42,9 +43,8 @@ def job_events(outcomes: DataFrame) -> DataFrame:
         F.when(failed, _event("job_error", 1, **done)).otherwise(_event("job_result", 1, **done)),
         F.when(F.col("opens_breaker"), _event("org_rate_limited", 2, **opened)),
     )
-    return outcomes.select(
-        F.col("job_index").cast("bigint").alias("seq"), F.explode(F.array_compact(emitted)).alias("e")
-    ).select("seq", "e.*")
+    seq = F.col("job_index").cast("bigint").alias("seq")
+    return unnest(outcomes, seq, array=F.array_compact(emitted), item="e").select("seq", "e.*")
 
 
 def org_events(orgs: DataFrame, job_counts: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def org_events(orgs: DataFrame, job_counts: DataFrame) -> DataFrame:
             F.lit(None).cast("int").alias("seq"), _event("org_done", 9, **org, job_count=count, **end).alias("e")
         ),
     )
-    rows = rows.select(F.explode(F.array_compact(emitted)).alias("x"))
+    rows = unnest(rows, array=F.array_compact(emitted), item="x")
     last = F.lit(2**62)
     return rows.select(F.coalesce(F.col("x.seq").cast("bigint"), last).alias("seq"), "x.e.*")
 

@@ -8,6 +8,7 @@ from postmill.constants import GATE_FALLBACKS
 from postmill.functions.predicates import is_successful
 from postmill.functions.text import blank_if_null, strip, word_count
 from postmill.operators.rollup import org_measures
+from postmill.operators.rows import unnest
 from postmill.sources.gates import GATE_COLUMNS
 
 
@@ -86,7 +87,7 @@ def org_violations(gates: DataFrame, today: Column) -> DataFrame:
             ),
         ),
     )
-    return gates.select("org_abbrev", F.explode(F.array_compact(rows)).alias("v")).select(
+    return unnest(gates, "org_abbrev", array=F.array_compact(rows), item="v").select(
         "org_abbrev", "v.rule", "v.rule_seq", F.lit(None).cast("bigint").alias("job_index"), "v.message"
     )
 
@@ -131,7 +132,7 @@ def posting_violations(gates: DataFrame, postings: DataFrame) -> DataFrame:
             ),
         ),
     )
-    return rows.select("org_abbrev", "job_index", F.explode(F.array_compact(found)).alias("v")).select(
+    return unnest(rows, "org_abbrev", "job_index", array=F.array_compact(found), item="v").select(
         "org_abbrev", "v.rule", "v.rule_seq", "job_index", "v.message"
     )
 

@@ -22,6 +22,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# A table up to this size is spread over the cores; a larger one has enough scan tasks of its own.
+SMALL_TABLE_BYTES = 256 * 1024 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small landed table as many tasks as there are cores. Larger tables stay unshuffled."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size > SMALL_TABLE_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only for a local session without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

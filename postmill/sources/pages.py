@@ -2,10 +2,12 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from postmill.session import spread
+
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed pages `(page_id, url, html)`; a missing body is an empty one."""
-    pages = spark.read.parquet(path).select("page_id", "url", "html")
+    pages = spread(spark.read.parquet(path).select("page_id", "url", "html"))
     return pages.withColumn("html", F.coalesce("html", F.lit("")))
 
 

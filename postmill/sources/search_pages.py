@@ -11,6 +11,7 @@ from postmill import constants as C
 from postmill.functions.text import blank_if_null
 from postmill.functions.urls import facet_detail_url
 from postmill.operators.dedupe import first_row
+from postmill.operators.rows import unnest
 
 _FACET = (
     "total bigint, jobPostings array<struct<title: string, externalPath: string, locationsText: string>>"
@@ -24,7 +25,7 @@ _SIMPLE = "results array<struct<title: string, id: string, location: string, dep
 
 def _items(pages: DataFrame, schema: str, field: str) -> DataFrame:
     parsed = pages.select("source_id", "page_no", F.from_json("body", schema)[field].alias("items"))
-    return parsed.select("source_id", "page_no", F.posexplode("items").alias("pos", "item"))
+    return unnest(parsed, "source_id", "page_no", array="items", item="item", pos="pos")
 
 
 def _before_stop(pages: DataFrame, stops: Column) -> DataFrame:
