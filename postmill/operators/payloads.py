@@ -1,5 +1,7 @@
 """Descriptions from landed JSON payloads, one text per payload address."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from postmill import constants as C
@@ -8,6 +10,10 @@ from postmill.functions.text import cap_description, clean_text, null_if_blank,
 from postmill.functions.urls import detail_api_url, site_url, vacancy_key, vacancy_number
 from postmill.operators.dedupe import first_row
 from postmill.operators.rows import unnest
+from postmill.session import settle
+
+# Payload families, best first.
+ITEM, NESTED, LISTED = 0, 1, 2
 
 _NESTED = "jobPostingInfo struct<jobDescription: string, description: string>"
 _VACANCIES = T.ArrayType(
@@ -90,42 +96,50 @@ def detail_addresses(postings: DataFrame) -> DataFrame:
     )
 
 
-def _one_text(texts: DataFrame, keys: list[str]) -> DataFrame:
-    return texts.groupBy(*keys).agg(F.max("text").alias("text"))
+def _addresses(postings: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Derived addresses as narrow rows `(key, rank, api_url, vacancy_id)`; the lowest rank counts first."""
 
+    def asked(rank: int, address: str, vacancy: Column) -> Column:
+        row = F.struct(F.lit(rank).alias("rank"), F.col(address).alias("api_url"), vacancy.alias("vacancy_id"))
+        return F.when(F.col(address).isNotNull(), row)
 
-def with_payload_text(postings: DataFrame, payloads: DataFrame, out: str = "payload_text") -> DataFrame:
-    """Add the landed API text of a posting: flat item, else nested detail, else vacancy list.
+    none = F.lit(-1).cast("bigint")
+    every = F.array_compact(
+        F.array(
+            asked(ITEM, "vacancy_item_url", none),
+            asked(NESTED, "detail_api_url", none),
+            asked(LISTED, "vacancy_list_url", F.col("vacancy_id")),
+        )
+    )
+    return unnest(detail_addresses(postings), *key, array=every, item="a").select(*key, "a.*")
 
-    Every payload is parsed once, under the shape its address belongs to.
-    """
-    postings = detail_addresses(postings)
 
-    def wanted(*columns: str) -> DataFrame:
-        asked = postings.select(*[F.col(c) for c in columns]).filter(F.col(columns[0]).isNotNull())
-        urls = asked.select(F.col(columns[0]).alias("api_url")).distinct()
-        return payloads.join(urls, "api_url", "left_semi")
+def with_payload_text(
+    postings: DataFrame, payloads: DataFrame, key: Sequence[str], out: str = "payload_text"
+) -> DataFrame:
+    """Add the landed API text of a posting: flat item, else nested detail, else vacancy list.
 
-    items = _one_text(item_texts(wanted("vacancy_item_url")), ["api_url"]).select(
-        F.col("api_url").alias("vacancy_item_url"), F.col("text").alias("_item")
-    )
-    nested = _one_text(nested_texts(wanted("detail_api_url")), ["api_url"]).select(
-        F.col("api_url").alias("detail_api_url"), F.col("text").alias("_nested")
-    )
-    listed = vacancy_texts(wanted("vacancy_list_url")).select(
-        F.col("api_url").alias("vacancy_list_url"), "vacancy_id", F.col("text").alias("_listed")
-    )
-    joined = (
-        postings.join(items, "vacancy_item_url", "left")
-        .join(nested, "detail_api_url", "left")
-        .join(listed, ["vacancy_list_url", "vacancy_id"], "left")
-    )
-    text = F.coalesce(
-        null_if_blank(F.col("_item")),
-        null_if_blank(F.col("_nested")),
-        null_if_blank(F.col("_listed")),
-        F.lit(""),
-    )
-    return joined.withColumn(out, text).drop(
-        "_item", "_nested", "_listed", "detail_api_url", "vacancy_list_url", "vacancy_id", "vacancy_item_url"
+    Addresses and payloads meet as narrow rows, every wanted payload is parsed once under the shape its
+    address belongs to, and the postings themselves take part in one join by their key.
+    """
+    addresses = _addresses(postings, key)
+    # Each shape reads the wanted payloads, so they are picked out once.
+    wanted = settle(payloads.join(addresses.select("api_url", "rank").distinct(), "api_url"), "payloads")
+
+    def of(rank: int) -> DataFrame:
+        return wanted.filter(F.col("rank") == rank).select("api_url", "body")
+
+    none = F.lit(-1).cast("bigint")
+    columns = ("rank", "api_url", "vacancy_id", "text")
+    items = item_texts(of(ITEM)).withColumns({"rank": F.lit(ITEM), "vacancy_id": none})
+    nested = nested_texts(of(NESTED)).withColumns({"rank": F.lit(NESTED), "vacancy_id": none})
+    listed = vacancy_texts(of(LISTED)).withColumn("rank", F.lit(LISTED))
+    texts = items.select(*columns).unionByName(nested.select(*columns)).unionByName(listed.select(*columns))
+    texts = texts.filter(F.col("text") != "")
+    best = (
+        addresses.join(texts, ["rank", "api_url", "vacancy_id"])
+        .groupBy(*key)
+        .agg(F.min_by("text", F.struct("rank", "text")).alias(out))
     )
+    joined = postings.join(best, list(key), "left")
+    return joined.withColumn(out, F.coalesce(out, F.lit("")))

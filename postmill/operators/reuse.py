@@ -8,27 +8,30 @@ from postmill.functions.urls import spread_blank
 from postmill.operators.dedupe import last_row
 
 
+def _finished(prior: DataFrame) -> DataFrame:
+    status, kind = blank_if_null(F.col("enrich_status")), blank_if_null(F.col("content_type"))
+    return prior.filter((F.col("url") != "") & is_enriched(status, kind))
+
+
 def reusable(prior: DataFrame, order: str = "index") -> DataFrame:
     """Finished earlier rows with an address, last one per organisation and address."""
-    done = prior.filter(
-        (F.col("url") != "") & is_enriched(blank_if_null(F.col("enrich_status")), blank_if_null(F.col("content_type")))
-    )
-    return last_row(done, ["org_abbrev", "url"], [order])
+    return last_row(_finished(prior), ["org_abbrev", "url"], [order])
 
 
-def with_prior(listings: DataFrame, prior: DataFrame, force: bool = False) -> DataFrame:
-    """Add the reusable earlier row as struct `prior`, null where there is none."""
+def with_prior(listings: DataFrame, prior: DataFrame, force: bool = False, how: str = "left") -> DataFrame:
+    """Add the reusable earlier row as struct `prior`; null, or no row with an inner join, without one."""
     listings = listings.withColumn("url", strip(blank_if_null(F.col("url"))))
     done = reusable(prior.limit(0) if force else prior)
     build = done.select("org_abbrev", F.col("url").alias("_key"), F.struct(*done.columns).alias("prior"))
     keyed = listings.withColumn("_key", spread_blank(F.col("url"), "org_abbrev", "job_index"))
-    return keyed.join(build, ["org_abbrev", "_key"], "left").drop("_key")
+    return keyed.join(build, ["org_abbrev", "_key"], how).drop("_key")
 
 
 def work_list(listings: DataFrame, prior: DataFrame, force: bool = False) -> DataFrame:
     """Listings that still have to be fetched."""
     listings = listings.withColumn("url", strip(blank_if_null(F.col("url"))))
-    done = reusable(prior.limit(0) if force else prior)
-    build = done.select("org_abbrev", F.col("url").alias("_key"))
+    if force:
+        return listings
+    build = _finished(prior).select("org_abbrev", F.col("url").alias("_key")).distinct()
     keyed = listings.withColumn("_key", spread_blank(F.col("url"), "org_abbrev", "job_index"))
     return keyed.join(build, ["org_abbrev", "_key"], "left_anti").drop("_key")

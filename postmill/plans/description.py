@@ -68,7 +68,7 @@ def page_facts(
         "pdf_candidates",
     )
     if payloads is not None:
-        facts = with_payload_text(facts, payloads)
+        facts = with_payload_text(facts, payloads, ["page_id"])
     else:
         facts = facts.withColumn("payload_text", F.lit(""))
     has_payload = F.col("payload_text") != ""

@@ -4,10 +4,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from postmill.functions.text import blank_if_null, iso_utc
 from postmill.operators.positions import first_n
-from postmill.operators.reuse import with_prior
-from postmill.plans.collect import CACHED, settle_outcomes
-from postmill.plans.resolution import listing_detail
-from postmill.schemas import STATE, STATE_FIELDS
+from postmill.operators.reuse import with_prior, work_list
+from postmill.plans.collect import CACHED, collect_outcomes
+from postmill.schemas import RESULT_FIELDS, STATE, STATE_FIELDS
 
 
 def tag_listing(listings: DataFrame) -> DataFrame:
@@ -47,25 +46,25 @@ def enrich_outcomes(
 ) -> DataFrame:
     """Outcomes of numbered listings, earlier results included (`origin` tells which).
 
-    Rows that need no reading never reach `read_pages(rows)`, which adds `res`, `fetch_seconds`, `error`.
+    The anti-join comes first, so reused rows reach neither `read_pages(rows)` nor the breaker, for
+    which they do not count. Their earlier row comes along as struct `prior`.
     """
-    rows = with_prior(first_n(listings, max_jobs), prior, force)
-    rows = listing_detail(rows, rules)
-    known = F.col("prior").isNotNull()
-    to_read = ~known & F.col("detail").isNull()
-    todo = read_pages(rows.filter(to_read))
-    kind = todo.schema["res"].dataType
+    listed = first_n(listings, max_jobs)
+    fresh = collect_outcomes(work_list(listed, prior, force), rules, read_pages, chunk=chunk)
+    known = with_prior(listed, prior, force, how="inner")
+    kind = known.schema["prior"].dataType
     p = F.col("prior")
-    reused = F.struct(*[p[f.name].alias(f.name) for f in kind.fields])
-    rest = rows.filter(~to_read).withColumns(
+    reused = known.withColumns(
         {
-            "res": F.when(known, reused),
+            "res": F.struct(*[p[name].alias(name) for name in RESULT_FIELDS]),
             "fetch_seconds": F.lit(0.0),
             "error": F.lit(""),
+            "origin": F.lit(CACHED),
+            "opens_breaker": F.lit(False),
         }
     )
-    together = todo.unionByName(rest.select(*todo.columns))
-    return settle_outcomes(together, chunk, transparent=F.col("prior").isNotNull())
+    fresh = fresh.withColumn("prior", F.lit(None).cast(kind))
+    return fresh.unionByName(reused.select(*fresh.columns))
 
 
 def new_state(outcomes: DataFrame, now: Column) -> DataFrame:

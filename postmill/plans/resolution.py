@@ -6,7 +6,7 @@ from postmill import constants as C
 from postmill.functions.predicates import classify_error, has_js_marker, has_listing_detail, is_short
 from postmill.functions.text import blank_if_null, slug, strip
 from postmill.functions.urls import content_kind, run_path, spread_blank, table_row_index, url_host
-from postmill.operators.dedupe import first_row
+from postmill.operators.dedupe import first_row, last_row
 from postmill.operators.pdf_links import with_pdf_link
 from postmill.operators.rules import flag_equal, flag_inside
 from postmill.schemas import RESULT_FIELDS
@@ -87,22 +87,31 @@ def resolve(
     return rows.select(*listings.columns, "rendered_text", res.alias("res"))
 
 
-def with_outcome(rows: DataFrame, attempts: DataFrame) -> DataFrame:
-    """Turn resolved rows and the log of their fetch attempts into results with seconds and error.
+def with_attempts(listings: DataFrame, attempts: DataFrame) -> DataFrame:
+    """Add the logged fetch of each listing, before any page text is in the rows.
 
-    `attempts(org_abbrev, job_index, error, fetch_seconds, [rendered_seconds])`. A failed attempt keeps
-    its failure class unless a browser organisation has a rendered text to fall back on.
+    `attempts(org_abbrev, job_index, error, fetch_seconds, [rendered_seconds], [attempt])`; with several
+    attempts of a listing the last one counts.
+    """
+    keys = ["org_abbrev", "job_index"]
+    if "attempt" in attempts.columns:
+        attempts = last_row(attempts, keys, ["attempt"])
+    rendered = "rendered_seconds" if "rendered_seconds" in attempts.columns else F.lit(0.0)
+    logged = attempts.select(
+        *keys,
+        F.col("error").alias("_error"),
+        F.round(F.coalesce("fetch_seconds", F.lit(0.0)), 3).alias("_seconds"),
+        F.round(F.coalesce(rendered, F.lit(0.0)), 3).alias("_rendered_seconds"),
+    )
+    return listings.join(logged, keys, "left")
+
+
+def with_outcome(rows: DataFrame) -> DataFrame:
+    """Turn resolved rows that carry their attempt into results with seconds and error.
+
+    A failed attempt keeps its failure class unless a browser organisation has a rendered text.
     """
-    columns = {
-        "_error": blank_if_null(F.col("error")),
-        "_seconds": F.round(F.coalesce("fetch_seconds", F.lit(0.0)), 3),
-        "_rendered_seconds": F.round(F.coalesce("rendered_seconds", F.lit(0.0)), 3)
-        if "rendered_seconds" in attempts.columns
-        else F.lit(0.0),
-    }
-    logged = attempts.select("org_abbrev", "job_index", *[c.alias(n) for n, c in columns.items()])
     use_browser = F.col("use_browser") if "use_browser" in rows.columns else F.lit(False)
-    joined = rows.join(logged, ["org_abbrev", "job_index"], "left")
     failed = (blank_if_null(F.col("_error")) != "") & (F.col("url") != "")
     shown = blank_if_null(F.col("rendered_text"))
     rescued = failed & use_browser & (F.length(shown) > C.MIN_RENDERED_CHARS)
@@ -115,8 +124,9 @@ def with_outcome(rows: DataFrame, attempts: DataFrame) -> DataFrame:
     seconds = F.when(F.col("url") == "", F.lit(0.0)).when(rescued, F.col("_rendered_seconds")).otherwise(
         F.coalesce("_seconds", F.lit(0.0))
     )
-    return joined.select(
-        *[c for c in rows.columns if c not in ("res", "rendered_text")],
+    given = ("res", "rendered_text", "error", "fetch_seconds", "_error", "_seconds", "_rendered_seconds")
+    return rows.select(
+        *[c for c in rows.columns if c not in given],
         res.alias("res"),
         seconds.alias("fetch_seconds"),
         F.when(failed & ~rescued, F.col("_error")).otherwise("").alias("error"),

@@ -9,7 +9,7 @@ from postmill.functions.predicates import classify_error, has_js_marker, is_shor
 from postmill.functions.text import strip
 from postmill.operators.positions import chunk_of, number_rows, range_chunks
 from postmill.plans.resolution import result
-from postmill.session import prepare, spread
+from postmill.session import prepare, read_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,7 +41,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
+    return read_parquet(spark, f"{folder}/{name}.parquet")
 
 
 # --- pieces of SQL ------------------------------------------------------------

@@ -228,7 +228,7 @@ def payload_joins(spark, folder):
         .unionByName(_vacancy_payloads(spark, folder))
         .unionByName(_item_payloads(spark, folder).drop("doc_id"))
     )
-    return with_payload_text(rows, payloads).select("doc_id", "payload_text")
+    return with_payload_text(rows, payloads, ["doc_id"]).select("doc_id", "payload_text")
 
 
 # --- registry -------------------------------------------------------------------------

@@ -13,7 +13,7 @@ from postmill.plans.description import page_facts
 from postmill.plans.enrich import enrich_outcomes, new_state
 from postmill.plans.events import run_events
 from postmill.plans.quality import rendered, violations
-from postmill.plans.resolution import resolve, with_outcome
+from postmill.plans.resolution import resolve, with_attempts, with_outcome
 from postmill.schemas import EVENT, STATE
 from postmill.session import scratch_path
 from postmill.sinks.artifacts import append_events, write_postings, write_state
@@ -133,8 +133,8 @@ def fetch_outcomes(spark, folder):
     log = listings(spark, folder).select(
         "org_abbrev", "job_index", "error", "fetch_seconds", F.lit(1.25).alias("rendered_seconds")
     )
-    read = resolve(listed, facts, rules_frame(spark, {}), RUN_ID, DAY, rendered=shown_rows)
-    done = with_outcome(read, log)
+    tried = with_attempts(listed, log)
+    done = with_outcome(resolve(tried, facts, rules_frame(spark, {}), RUN_ID, DAY, rendered=shown_rows))
     return done.select(
         "doc_id", "res.enrich_status", "res.status_reason", "res.description", "fetch_seconds", "error"
     )
