@@ -6,10 +6,11 @@ from pyspark.sql import Column, functions as F
 
 from postmill import constants as C
 
-# White space beyond the ASCII kinds that a plain \s matches. Translating it first keeps the patterns
-# simple, which the regex engine rewards with several times the speed.
-_WIDE = (
-    "\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+# White space beyond the ASCII kinds that a plain \s matches. Texts that have any are translated first;
+# that keeps the patterns simple, which the regex engine rewards with several times the speed.
+_CONTROL = "\x1c\x1d\x1e\x1f"
+_WIDE = _CONTROL + (
+    "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
 _SPACE_CHARS = "\t\n\x0b\x0c\r " + _WIDE
@@ -24,9 +25,28 @@ def null_if_blank(col: Column) -> Column:
     return F.nullif(col, F.lit(""))
 
 
+def bind(value: Column, body) -> Column:
+    """`body(value)` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def contains_any(col: Column, parts: Sequence[str]) -> Column:
+    """Whether any of the fixed parts occurs in the text."""
+    hit = F.lit(False)
+    for part in parts:
+        hit = hit | F.contains(col, F.lit(part))
+    return hit
+
+
 def plain_space(col: Column) -> Column:
     """Every wide white space as a blank."""
-    return F.translate(col, _WIDE, " " * len(_WIDE))
+
+    def plain(text: Column) -> Column:
+        is_ascii = F.octet_length(text) == F.length(text)
+        wide = F.when(is_ascii, contains_any(text, _CONTROL)).otherwise(contains_any(text, _WIDE))
+        return F.when(wide, F.translate(text, _WIDE, " " * len(_WIDE))).otherwise(text)
+
+    return bind(col, plain)
 
 
 def strip(col: Column) -> Column:
@@ -43,19 +63,6 @@ def collapse_space(col: Column) -> Column:
     return F.trim(F.regexp_replace(plain_space(col), r"\s+", " "))
 
 
-def bind(value: Column, body) -> Column:
-    """`body(value)` with the value computed once, however often the body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def contains_any(col: Column, parts: Sequence[str]) -> Column:
-    """Whether any of the fixed parts occurs in the text."""
-    hit = F.lit(False)
-    for part in parts:
-        hit = hit | F.contains(col, F.lit(part))
-    return hit
-
-
 def marker_hits(col: Column, parts: Sequence[str]) -> Column:
     """How many of the fixed parts occur in the text."""
     total = F.lit(0)

@@ -13,6 +13,7 @@ from postmill.plans.quality import rendered
 from postmill.plans.report import FOOTER, HEADER, table_lines
 from postmill.plans.resolution import pdf_path
 from postmill.schemas import EVENT
+from postmill.sources.artifacts import state_bucket
 
 
 def new_run_id(prefix: str = "run") -> str:
@@ -47,7 +48,8 @@ def write_state(state: DataFrame, state_dir: str, keep: DataFrame | None = None)
         state = state.unionByName(keep.join(touched, "org_abbrev", "left_anti"))
     stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
     path = f"{state_dir}/snapshot={stamp}"
-    state.hint("rebalance", "org_abbrev").write.partitionBy("org_abbrev").parquet(path)
+    placed = state.withColumn("org_bucket", state_bucket(F.col("org_abbrev"))).hint("rebalance", "org_bucket")
+    placed.sortWithinPartitions("org_bucket", "org_abbrev", "index").write.partitionBy("org_bucket").parquet(path)
     return path
 
 

@@ -1,11 +1,15 @@
 """Readers of a run's artifacts: postings, events and earlier state."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postmill.schemas import EVENT, ORG_BLOCK, ORG_FIELDS, STATE
 
 _BLOCK = T.StructType([*ORG_BLOCK.fields, T.StructField("block", T.LongType())])
 
+STATE_BUCKETS = 64
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -41,10 +45,20 @@ def latest_state(spark: SparkSession, state_dir: str) -> str | None:
     return f"{state_dir}/{snapshots[-1]}" if snapshots else None
 
 
-def read_state(spark: SparkSession, state_dir: str, orgs: list[str] | None = None) -> DataFrame:
-    """Earlier enriched rows, empty when there are none; organisations prune partitions."""
+def state_bucket(org: Column) -> Column:
+    """Folder number of an organisation; a fixed count, however many organisations there are."""
+    return F.pmod(F.xxhash64(org), F.lit(STATE_BUCKETS)).cast("int")
+
+
+def read_state(spark: SparkSession, state_dir: str, orgs: Sequence[str] | None = None) -> DataFrame:
+    """Earlier enriched rows, empty when there are none; organisations prune folders and row groups."""
     path = latest_state(spark, state_dir)
     if path is None:
         return spark.createDataFrame([], STATE)
-    state = spark.read.schema(STATE).parquet(path)
-    return state.filter(F.col("org_abbrev").isin(orgs)) if orgs else state
+    layout = T.StructType([*STATE.fields, T.StructField("org_bucket", T.IntegerType())])
+    state = spark.read.schema(layout).parquet(path)
+    if orgs:
+        named = spark.createDataFrame([(org,) for org in orgs], "org string")
+        buckets = [r[0] for r in named.select(state_bucket(F.col("org"))).distinct().collect()]
+        state = state.filter(F.col("org_bucket").isin(buckets) & F.col("org_abbrev").isin(list(orgs)))
+    return state.select(*STATE.fieldNames())

@@ -187,16 +187,18 @@ def listings(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_text(rows: DataFrame) -> DataFrame:
     """Resolve listings whose page text is their document."""
+    rows = rows.withColumn("_short", is_short(F.col("text")))
+    rows = rows.withColumn("_js", F.col("_short") & has_js_marker(F.col("text")))
     text = F.col("text")
     path = F.concat(F.lit("pdfs/"), F.col("org_abbrev"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".pdf"))
     res = (
         F.when(F.col("url") == "", result("error", "", "", "no_detail_url", "missing_url", "none"))
         .when(F.col("is_pdf"), result("pdf", "", path, "pdf", "", "http"))
-        .when(is_short(text) & has_js_marker(text), result("html", text, "", "js_required", "js_required", "http"))
-        .when(is_short(text), result("html", text, "", "short_content", "short_description", "http"))
+        .when(F.col("_js"), result("html", text, "", "js_required", "js_required", "http"))
+        .when(F.col("_short"), result("html", text, "", "short_content", "short_description", "http"))
         .otherwise(result("html", text, "", "ok", "", "http"))
     )
-    return rows.withColumns({"res": res, "rendered_text": F.lit("")})
+    return rows.withColumn("res", res).drop("_short", "_js")
 
 
 def outcomes_of(rows: DataFrame) -> DataFrame:
@@ -205,7 +207,7 @@ def outcomes_of(rows: DataFrame) -> DataFrame:
     failed = (F.col("error") != "") & (F.col("url") != "")
     kind = classify_error(F.col("error"))
     res = F.when(failed, result("error", "", "", kind["status"], kind["reason"], "http")).otherwise(F.col("res"))
-    return read.drop("rendered_text").withColumns(
+    return read.withColumns(
         {
             "res": res,
             "fetch_seconds": F.when(F.col("url") == "", 0.0).otherwise(F.col("fetch_seconds")),
