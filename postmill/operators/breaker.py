@@ -42,13 +42,8 @@ def opening_in_chunk(carried: Column, threshold: int = C.BREAKER_THRESHOLD) -> C
     return F.least(early, F.col("opened"))
 
 
-def fold_summaries(
-    summary: DataFrame, key: str, carry: DataFrame | None = None, threshold: int = C.BREAKER_THRESHOLD
-) -> DataFrame:
-    """Scan the chunk summaries of every key: `open_at` (null while closed) and the run at the end.
-
-    `carry(key, streak, open_at)` continues from an earlier scan.
-    """
+def _scanned(summary: DataFrame, key: str, carry: DataFrame | None, threshold: int) -> DataFrame:
+    """Chunk rows with the run at their end (`_streak`) and the opening of their key (`open_at`)."""
     if carry is None:
         runs = summary.withColumns(
             {"_streak_in": F.lit(0).cast("bigint"), "_open_in": F.lit(None).cast("bigint")}
@@ -63,9 +58,20 @@ def fold_summaries(
     brought = F.when(F.col("_run") == 0, F.col("_streak_in")).otherwise(0)
     runs = runs.withColumn("_streak", F.sum("trail").over(in_run) + brought)
     runs = runs.withColumn("_carried", F.coalesce(F.lag("_streak").over(so_far), F.col("_streak_in")))
-    return runs.groupBy(key).agg(
-        F.coalesce(F.min("_open_in"), F.min(opening_in_chunk(F.col("_carried"), threshold))).alias("open_at"),
-        F.max_by("_streak", "_chunk").alias("streak"),
+    first = F.min(opening_in_chunk(F.col("_carried"), threshold)).over(W.partitionBy(key))
+    return runs.withColumn("open_at", F.coalesce(F.col("_open_in"), first))
+
+
+def fold_summaries(
+    summary: DataFrame, key: str, carry: DataFrame | None = None, threshold: int = C.BREAKER_THRESHOLD
+) -> DataFrame:
+    """Scan the chunk summaries of every key: `open_at` (null while closed) and the run at the end.
+
+    `carry(key, streak, open_at)` continues from an earlier scan.
+    """
+    scanned = _scanned(summary, key, carry, threshold)
+    return scanned.groupBy(key).agg(
+        F.min("open_at").alias("open_at"), F.max_by("_streak", "_chunk").alias("streak")
     )
 
 
@@ -89,8 +95,9 @@ def with_breaker(
 ) -> DataFrame:
     """Add `open_at` and `is_skipped`. Transparent (reused) rows neither count, reset nor skip."""
     passed = F.lit(False) if transparent is None else transparent
-    live = rows.filter(~passed)
-    opened = opening_positions(live, key, pos, limited, chunk, threshold)
-    joined = rows.join(opened, key, "left")
+    summary = chunk_summaries(rows.filter(~passed), key, pos, limited, chunk, threshold)
+    scanned = _scanned(summary, key, None, threshold).select(key, "_chunk", "open_at")
+    # Joined by chunk, not by key alone, so that a hot key stays spread.
+    joined = rows.withColumn("_chunk", chunk).join(scanned, [key, "_chunk"], "left").drop("_chunk")
     skipped = F.coalesce(~passed & (F.col(pos) > F.col("open_at")), F.lit(False))
     return joined.withColumn("is_skipped", skipped)

@@ -135,7 +135,7 @@ def with_payload_text(
     nested = nested_texts(of(NESTED)).withColumns({"rank": F.lit(NESTED), "vacancy_id": none})
     listed = vacancy_texts(of(LISTED)).withColumn("rank", F.lit(LISTED))
     texts = items.select(*columns).unionByName(nested.select(*columns)).unionByName(listed.select(*columns))
-    texts = texts.filter(F.col("text") != "")
+    texts = settle(texts.filter(F.col("text") != ""), "texts")
     best = (
         addresses.join(texts, ["rank", "api_url", "vacancy_id"])
         .groupBy(*key)

@@ -6,6 +6,7 @@ from postmill.functions.predicates import is_enriched
 from postmill.functions.text import blank_if_null, strip
 from postmill.functions.urls import spread_blank
 from postmill.operators.dedupe import last_row
+from postmill.session import settle
 
 
 def _finished(prior: DataFrame) -> DataFrame:
@@ -21,7 +22,8 @@ def reusable(prior: DataFrame, order: str = "index") -> DataFrame:
 def with_prior(listings: DataFrame, prior: DataFrame, force: bool = False, how: str = "left") -> DataFrame:
     """Add the reusable earlier row as struct `prior`; null, or no row with an inner join, without one."""
     listings = listings.withColumn("url", strip(blank_if_null(F.col("url"))))
-    done = reusable(prior.limit(0) if force else prior)
+    # Written first: both join sides are then plain shuffles, which AQE can split at a hot address.
+    done = settle(reusable(prior.limit(0) if force else prior), "prior")
     build = done.select("org_abbrev", F.col("url").alias("_key"), F.struct(*done.columns).alias("prior"))
     keyed = listings.withColumn("_key", spread_blank(F.col("url"), "org_abbrev", "job_index"))
     return keyed.join(build, ["org_abbrev", "_key"], how).drop("_key")
@@ -32,6 +34,6 @@ def work_list(listings: DataFrame, prior: DataFrame, force: bool = False) -> Dat
     listings = listings.withColumn("url", strip(blank_if_null(F.col("url"))))
     if force:
         return listings
-    build = _finished(prior).select("org_abbrev", F.col("url").alias("_key")).distinct()
+    build = settle(_finished(prior).select("org_abbrev", F.col("url").alias("_key")).distinct(), "known")
     keyed = listings.withColumn("_key", spread_blank(F.col("url"), "org_abbrev", "job_index"))
     return keyed.join(build, ["org_abbrev", "_key"], "left_anti").drop("_key")

@@ -51,8 +51,10 @@ def org_measures(postings: DataFrame) -> DataFrame:
         "org_abbrev",
         has_pdf(F.col("content_type"), F.col("pdf_path")).alias("pdf"),
         F.when(ok, word_count(F.col("description"))).alias("words"),
+        "index",
     )
     return rows.groupBy("org_abbrev").agg(
+        F.max("index").alias("last_index"),
         F.count(F.lit(1)).alias("job_count"),
         F.bool_or("pdf").alias("has_pdf"),
         F.count("words").alias("successes"),

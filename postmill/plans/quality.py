@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from postmill.constants import GATE_FALLBACKS
 from postmill.functions.predicates import is_successful
 from postmill.functions.text import blank_if_null, strip, word_count
+from postmill.operators.positions import chunk_of
 from postmill.operators.rollup import org_measures
 from postmill.operators.rows import unnest
 from postmill.sources.gates import GATE_COLUMNS
@@ -104,10 +105,13 @@ def posting_violations(gates: DataFrame, postings: DataFrame) -> DataFrame:
         F.when(ok, word_count(F.col("description"))).alias("words"),
         F.coalesce("fetch_seconds", F.lit(0.0)).alias("seconds"),
     )
-    limits = gates.select(
-        "org_abbrev", "min_words", "max_words", "max_fetch_seconds_per_job", "has_pdf"
+    # One row of limits per chunk of an organisation: joined by chunk, a hot organisation stays spread.
+    chunks = F.sequence(F.lit(0).cast("bigint"), chunk_of(F.coalesce("last_index", F.lit(0))))
+    limits = unnest(
+        gates, "org_abbrev", "min_words", "max_words", "max_fetch_seconds_per_job", "has_pdf",
+        array=chunks, item="_chunk",
     )
-    rows = narrow.join(limits, "org_abbrev")
+    rows = narrow.withColumn("_chunk", chunk_of(F.coalesce("job_index", F.lit(0)))).join(limits, ["org_abbrev", "_chunk"])
     org, index, words = F.col("org_abbrev"), F.col("job_index"), F.col("words")
     low, high, cap = F.col("min_words"), F.col("max_words"), F.col("max_fetch_seconds_per_job")
     outside = ~F.coalesce("has_pdf", F.lit(False)) & ((words < low) | (words > high))

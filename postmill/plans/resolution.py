@@ -10,6 +10,7 @@ from postmill.operators.dedupe import first_row, last_row
 from postmill.operators.pdf_links import with_pdf_link
 from postmill.operators.rules import flag_equal, flag_inside
 from postmill.schemas import RESULT_FIELDS
+from postmill.session import settle
 
 
 def result(content_type: str, description, pdf_path, status, reason, method: str) -> Column:
@@ -52,7 +53,8 @@ def resolve(
     rows = rows.withColumn("_title", F.when(F.col("title") != "", F.col("title")).otherwise(
         F.concat(F.lit("job-"), F.col("job_index").cast("string"))
     ))
-    one_per_url = first_row(facts, ["url"], ["page_id"])
+    # Written first: both join sides are then plain shuffles, which AQE can split at a hot address.
+    one_per_url = settle(first_row(facts, ["url"], ["page_id"]), "facts")
     rows = rows.withColumn("_page_url", spread_blank(url, "org_abbrev", "job_index"))
     rows = rows.join(one_per_url.drop("page_id").withColumnRenamed("url", "_page_url"), "_page_url", "left")
     rows = with_pdf_link(rows, F.col("_title"), F.col("_prefers_pdf"), "_row", headers)

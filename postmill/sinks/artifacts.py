@@ -13,6 +13,7 @@ from postmill.plans.quality import rendered
 from postmill.plans.report import FOOTER, HEADER, table_lines
 from postmill.plans.resolution import pdf_path
 from postmill.schemas import EVENT
+from postmill.session import settle
 from postmill.sources.artifacts import state_bucket
 
 
@@ -100,7 +101,8 @@ def write_report(
 def pdf_manifest(postings: DataFrame, run_id: str, day: str) -> DataFrame:
     """Target path of every PDF posting and how many postings share it."""
     rows = postings.withColumn("path", pdf_path(run_id, day, F.col("org_abbrev"), F.col("title")))
-    shared = rows.groupBy("path").agg(F.count(F.lit(1)).alias("same_path"))
+    # Written first: both join sides are then plain shuffles, which AQE can split at a hot path.
+    shared = settle(rows.groupBy("path").agg(F.count(F.lit(1)).alias("same_path")), "paths")
     return rows.select("org_abbrev", "index", "url", "path").join(shared, "path")
 
 

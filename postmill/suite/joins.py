@@ -501,7 +501,7 @@ def report_lines(spark, folder):
         GROUP BY org_abbrev""",
 )
 def org_measure_rows(spark, folder):
-    return org_measures(postings(spark, folder))
+    return org_measures(postings(spark, folder)).drop("last_index")
 
 
 @query(
