@@ -9,8 +9,8 @@ from postmill.operators.rules import flag_equal, flag_inside
 from postmill.operators.rollup import has_pdf
 from postmill.sources.rules import rules_frame
 from postmill.suite.base import (
-    DAY, LISTINGS_SQL, RESULTS_SQL, RUN_ID, as_long, listings, now, postings, query, quoted, sql_any,
-    sql_clean, sql_error, sql_hits, sql_keywords, sql_lines, sql_short, sql_slug, sql_strip, sql_words,
+    LISTINGS_SQL, RESULTS_SQL, RUN_ID, as_long, listings, now, postings, query, sql_any,
+    sql_clean, sql_error, sql_hits, sql_keywords, sql_short, sql_slug, sql_strip, sql_words,
     table,
 )
 
