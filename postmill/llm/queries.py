@@ -27,3 +27,12 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
     kept = remove_repeats(table(spark, folder, "documents"), keep=["doc_id"])
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of each document after removal of 100-byte strings that start earlier."""
+    from .suffix_dedup import remove_repeated_bytes
+
+    kept = remove_repeated_bytes(table(spark, folder, "documents"), keep=["doc_id"])
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
