@@ -29,7 +29,7 @@ from . import flat
 from .scratch import settle, shards
 
 # Heaviest anchors listed by each reducer, and the occurrences that make one heavy.
-HEAVY, HEAVY_COUNT = 8, 4096
+HEAVY, HEAVY_COUNT = 8, 1024
 # Entries, and bytes of passages, that a map buffer holds.
 BUFFER_ROWS, BUFFER_BYTES = 1 << 20, 16 << 20
 SHARD_BYTES = 16 << 20
@@ -160,11 +160,49 @@ def _anchors(unit: Unit, buckets: int):
     return run
 
 
-_LISTED = "doc long, twin long, rows int, firsts binary, heavy long, times long"
+def _to_documents(doc: np.ndarray, twin: np.ndarray, first: np.ndarray, n: np.ndarray, buckets: int) -> dict:
+    """Ranges of windows packed by bucket of their document."""
+    bucket = (flat.mix(doc.view(np.uint64)) >> np.uint64(33)).astype(np.int64) % buckets
+    order, names, begins = _by_bucket(bucket)
+    columns = {k: flat.binaries(v[order].astype(np.int64), begins) for k, v in (("doc", doc), ("twin", twin), ("first", first), ("n", n))}
+    return {"bucket": pa.array(names.astype(np.int32)), "rows": pa.array(np.diff(begins).astype(np.int32)), **columns}
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_BY_DOCUMENT = "doc long, twin long, ranges binary"
+
+
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each document of a bucket, with its ranges (first, number) in order."""
+    parts = [[np.frombuffer(row[k], dtype=np.int64) for k in ("doc", "twin", "first", "n")] for batch in batches for row in batch.to_pylist()]
+    if not parts:
+        return
+    doc, twin, first, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    del parts
+    order = np.lexsort((first, twin, doc))
+    doc, twin = doc[order], twin[order]
+    head = np.ones(len(doc), dtype=bool)
+    head[1:] = (doc[1:] != doc[:-1]) | (twin[1:] != twin[:-1])
+    begins = np.append(np.flatnonzero(head), len(doc))
+    step = 1 << 12
+    doc, twin, ranges = doc[head], twin[head], np.stack([first[order], n[order]], 1)
+    for a in range(0, len(doc), step):
+        own = begins[a : a + step + 1]
+        yield _record(doc=pa.array(doc[a : a + step]), twin=pa.array(twin[a : a + step]), ranges=flat.binaries(ranges[own[0] : own[-1]].ravel(), 2 * (own - own[0])))
+
+
+_LISTED = "bucket int, rows int, doc binary, twin binary, first binary, n binary, heavy long, times long"
+
+
+def _repeated(buckets: int):
     """Step 2, over one bucket: runs whose anchor occurs again, by document; then the heavy anchors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _repeated_anchors(batches, buckets)
+
+    return run
+
+
+def _repeated_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     parts = []
     for batch in batches:
         for row in batch.to_pylist():
@@ -181,19 +219,15 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept = ~asked
     kept[asked] = total[back] > 1
     doc, twin, first = doc[kept], twin[kept], first[kept].astype(np.int64)
-    order = np.lexsort((first, twin, doc))
-    doc, twin, first = doc[order], twin[order], first[order]
-    head = np.ones(len(doc), dtype=bool)
-    head[1:] = (doc[1:] != doc[:-1]) | (twin[1:] != twin[:-1])
-    begins = np.append(np.flatnonzero(head), len(doc))
-    n = len(begins) - 1
     heavy = np.flatnonzero(total >= HEAVY_COUNT)
     heavy = heavy[np.argsort(-total[heavy], kind="stable")[:HEAVY]]
-    none = pa.nulls(n, pa.int64())
-    yield _record(doc=pa.array(doc[head]), twin=pa.array(twin[head]), rows=pa.array(np.diff(begins).astype(np.int32)), firsts=flat.binaries(first, begins), heavy=none, times=none)
+    columns = _to_documents(doc, twin, first, np.zeros(len(doc), dtype=np.int64), buckets)
+    none = pa.nulls(len(columns["bucket"]), pa.int64())
+    yield _record(**columns, heavy=none, times=none)
     if len(heavy):
-        none = pa.nulls(len(heavy), pa.int64())
-        yield _record(doc=none, twin=none, rows=none.cast(pa.int32()), firsts=none.cast(pa.string()).cast(pa.binary()), heavy=pa.array(names[heavy].view(np.int64)), times=pa.array(total[heavy]))
+        none = pa.nulls(len(heavy), pa.int32())
+        empty = none.cast(pa.string()).cast(pa.binary())
+        yield _record(bucket=none, rows=none, doc=empty, twin=empty, first=empty, n=empty, heavy=pa.array(names[heavy].view(np.int64)), times=pa.array(total[heavy]))
 
 
 _SHIPPED = "bucket int, rows int, answer boolean, doc binary, twin binary, first binary, n binary, anchor binary, size binary, body binary"
@@ -235,7 +269,7 @@ def _ship(unit: Unit, heavy: np.ndarray, buckets: int):
             docs, twins, lists = batch.column("doc").to_numpy(), batch.column("twin").to_numpy(), batch.column("listed")
             for a, b, data, bounds in flat.groups(batch):
                 text, first, n, anchor, _, slices = unit.runs(data, bounds)
-                wanted = [np.frombuffer(b"".join(x.as_py()), dtype=np.int64) for x in lists.slice(a, b - a)]
+                wanted = [np.frombuffer(x.as_py(), dtype=np.int64)[::2] for x in lists.slice(a, b - a)]
                 key = np.concatenate([(k << 40) + w for k, w in enumerate(wanted)])
                 take = np.isin((text << 40) + first, key)
                 text, first, n, anchor = text[take], first[take], n[take], anchor[take]
@@ -260,11 +294,11 @@ def _ship(unit: Unit, heavy: np.ndarray, buckets: int):
     return run
 
 
-_ANSWERS = "doc long, twin long, ranges binary"
+_ANSWERS = "bucket int, rows int, doc binary, twin binary, first binary, n binary"
 
 
-def _answers(answer: Answer):
-    """Step 4, over one shard: ranges of windows (first, number) that start earlier elsewhere, by document."""
+def _answers(answer: Answer, buckets: int, piece_bytes: int):
+    """Step 4, over one shard: ranges of windows (first, number) that start earlier elsewhere."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, out = [], []
@@ -278,7 +312,7 @@ def _answers(answer: Answer):
         passages = Passages.joined(parts)
         del parts
         if len(passages):
-            pieces = max(1, int(passages.size.sum(dtype=np.int64)) >> 20)
+            pieces = int(passages.size.sum(dtype=np.int64)) // piece_bytes + 1
             piece = flat.mix(passages.anchor ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(pieces)
             order, _, begins = _by_bucket(piece)
             for a, b in zip(begins, begins[1:], strict=False):
@@ -289,13 +323,7 @@ def _answers(answer: Answer):
         if not out:
             return
         doc, twin, first, n = (np.concatenate(x) for x in zip(*out, strict=True))
-        order = np.lexsort((first, twin, doc))
-        doc, twin = doc[order], twin[order]
-        head = np.ones(len(doc), dtype=bool)
-        head[1:] = (doc[1:] != doc[:-1]) | (twin[1:] != twin[:-1])
-        begins = np.append(np.flatnonzero(head), len(doc))
-        ranges = np.stack([first[order], n[order]], 1).astype(np.int64).ravel()
-        yield _record(doc=pa.array(doc[head]), twin=pa.array(twin[head]), ranges=flat.binaries(ranges, 2 * begins))
+        yield _record(**_to_documents(doc, twin, first, n, buckets))
 
     return run
 
@@ -319,20 +347,23 @@ def covered(length: int, ranges: bytes, window: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def repeated_windows(texts: DataFrame, unit: Unit, answer: Answer) -> DataFrame:
-    """The rows of `keyed` with `ranges`: windows of each text that start earlier somewhere (null: none)."""
+def repeated_windows(texts: DataFrame, unit: Unit, answer: Answer, piece_bytes: int) -> DataFrame:
+    """The rows of `keyed` with `ranges`: windows of each text that start earlier somewhere (null: none).
+
+    `answer` gets the passages of some anchors, about `piece_bytes` of them, in document order.
+    """
     spark = texts.sparkSession
     buckets = shards(spark)
     keys = ["doc", "twin"]
     entries = texts.select(*keys, "text").mapInArrow(_anchors(unit, buckets), _ANCHORS).repartitionById(buckets, "bucket")
-    listed = settle(entries.mapInArrow(_repeated, _LISTED), "listed-runs")
+    listed = settle(entries.mapInArrow(_repeated(buckets), _LISTED), "listed-runs")
     heavy = np.array([r.heavy for r in listed.where("heavy is not null").select("heavy").collect()], dtype=np.int64).view(np.uint64)
     runs = listed.where("heavy is null").select(F.sum(F.col("rows").cast("long"))).first()[0] or 0
-    size = runs * unit.window * (10 if unit.words else 2)
-    parts = shards(spark, size, SHARD_BYTES)
-    by_doc = listed.where("heavy is null").groupBy(*keys).agg(F.collect_list("firsts").alias("listed"))
-    shipped = texts.select(*keys, "text", "carried").join(by_doc, keys, "left")
+    parts = shards(spark, runs * unit.window * (10 if unit.words else 2), SHARD_BYTES)
+    ranges = ["bucket", "doc", "twin", "first", "n"]
+    by_doc = listed.where("heavy is null").select(*ranges).repartitionById(buckets, "bucket").mapInArrow(_by_document, _BY_DOCUMENT)
+    shipped = texts.join(by_doc.withColumnRenamed("ranges", "listed"), keys, "left")
     shipped = shipped.mapInArrow(_ship(unit, heavy, parts), _SHIPPED).repartitionById(parts, "bucket")
-    answers = shipped.mapInArrow(_answers(answer), _ANSWERS)
-    answers = answers.groupBy(*keys).agg(F.collect_list("ranges").alias("ranges"))
+    answers = shipped.mapInArrow(_answers(answer, buckets, piece_bytes), _ANSWERS).select(*ranges)
+    answers = answers.repartitionById(buckets, "bucket").mapInArrow(_by_document, _BY_DOCUMENT)
     return texts.join(answers, keys, "left").select("carried", "text", "ranges")

@@ -12,6 +12,8 @@ from .passages import Passages, Unit, covered, keyed, repeated_windows, windows_
 
 # Words an anchor is taken from.
 GRAM = 6
+# Bytes of passages in one index.
+INDEX = 1 << 18
 
 
 def _answer(window: int):
@@ -51,7 +53,7 @@ def _cut(window: int):
                     total.append(len(s))
                     gone = ranges[k].as_py()
                     if gone:
-                        stay = ~covered(len(s), b"".join(gone), window)
+                        stay = ~covered(len(s), gone, window)
                         removed.append(len(s) - int(stay.sum()))
                         s, e = s[stay], e[stay]
                     else:
@@ -84,6 +86,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     results = ["n_words", "n_removed", "kept_text"]
     keep = [c for c in (keep if keep is not None else docs.columns) if c != text_col and c not in results]
     texts = keyed(docs, id_col, text_col, keep)
-    found = repeated_windows(texts, Unit(words=True, window=window, gram=min(GRAM, window)), _answer(window))
+    found = repeated_windows(texts, Unit(words=True, window=window, gram=min(GRAM, window)), _answer(window), INDEX)
     schema = f"carried {found.schema['carried'].dataType.simpleString()}, n_words long, n_removed long, kept_text string"
     return found.mapInArrow(_cut(window), schema).select("carried.*", *results)

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame
 
 from . import flat
 from .passages import Passages, Unit, covered, keyed, repeated_windows, windows_to_ranges
-from .suffix_sort import common_prefixes, suffix_array
+from .suffix_sort import common_prefixes, suffix_arrays
 
 # Bytes an anchor is taken from.
 GRAM = 32
+# Bytes of passages sorted side by side, and in one string of them.
+SIDE_BY_SIDE, STRING = 8 << 20, 16 << 10
 
 
 def _answer(window: int):
@@ -27,27 +29,39 @@ def _answer(window: int):
         copies = np.flatnonzero(later)
         stay = np.flatnonzero(~later)
         own = passages.take(stay)
+        # passages of one anchor share a string; strings of like length are sorted side by side
+        strings = max(1, len(own.body) // STRING)
+        string = (flat.mix(own.anchor) % np.uint64(strings)).astype(np.int64)
+        by_string = np.argsort(string, kind="stable")
+        stay, own, string = stay[by_string], own.take(by_string), string[by_string]
+        head = np.ones(len(own), dtype=bool)
+        head[1:] = string[1:] != string[:-1]
+        number = np.cumsum(head) - 1
         lengths = own.size.astype(np.int64)
-        begin = np.cumsum(lengths + 1) - (lengths + 1)
-        text = np.ones(int((lengths + 1).sum()) + 1, dtype=np.int64)  # 1 ends a passage, 0 the shard
-        text[-1] = 0
-        text[flat.ragged(begin, lengths)] = own.body.astype(np.int64) + 2
-        order = suffix_array(text)
+        ends = np.append(head[1:], True) if len(own) else head
+        taken = lengths + 1 + ends  # a 1 ends a passage, a 0 a string
+        begin = np.cumsum(taken) - taken
+        text = np.repeat(number * 258, taken).astype(np.int32)
+        text[flat.ragged(begin, lengths)] += own.body.astype(np.int32) + 2
+        text[begin + lengths] += 1
+        order = suffix_arrays(text, begin[head])
         shared = common_prefixes(text, order, window)[order] >= window
-        group = np.cumsum(~shared)  # equal for suffixes that share `window` bytes
-        # such a suffix starts a whole window: a passage holds no byte beyond its last window
+        group = np.cumsum(~shared, dtype=np.int32)  # equal for suffixes that share `window` bytes
         several = shared.copy()
         several[:-1] |= shared[1:]
-        place, group = order[several], group[several]
-        by_place = np.argsort(place)
-        place, group = place[by_place], group[by_place]
+        place, group = order[several].astype(np.int64), group[several]
+        # of equal windows the first in document order stays
+        who = np.searchsorted(begin, place, side="right") - 1
+        inside = place - begin[who] < own.n[who]  # not across the end of a passage
+        place, group, who = place[inside], group[inside], who[inside]
+        rank = np.lexsort((place - begin[who], stay[who]))
+        place, group = place[rank], group[rank]
         _, earliest = np.unique(group, return_index=True)
         gone = np.ones(len(place), dtype=bool)
         gone[earliest] = False
         place = place[gone]
+        place.sort()
         who = np.searchsorted(begin, place, side="right") - 1
-        inside = place - begin[who] < own.n[who]  # not across the end of a passage
-        who, place = who[inside], place[inside]
         found, first, n = windows_to_ranges(own, who, place - begin[who])
         return np.concatenate([stay[found], copies]), np.concatenate([first, passages.first[copies]]), np.concatenate([n, passages.n[copies].astype(np.int64)])
 
@@ -65,7 +79,7 @@ def _cut(window: int):
                     gone = ranges[k].as_py()
                     total.append(len(own))
                     if gone:
-                        out = covered(len(own), b"".join(gone), window)
+                        out = covered(len(own), gone, window)
                         removed.append(int(out.sum()))
                         spans.append(int(out[0]) + int((out[1:] & ~out[:-1]).sum()))
                         own = own[~out]
@@ -93,6 +107,6 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     results = ["n_bytes", "n_removed", "n_spans", "kept_bytes"]
     keep = [c for c in (keep if keep is not None else docs.columns) if c != text_col and c not in results]
     texts = keyed(docs, id_col, text_col, keep)
-    found = repeated_windows(texts, Unit(words=False, window=window, gram=min(GRAM, window)), _answer(window))
+    found = repeated_windows(texts, Unit(words=False, window=window, gram=min(GRAM, window)), _answer(window), SIDE_BY_SIDE)
     schema = f"carried {found.schema['carried'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_bytes binary"
     return found.mapInArrow(_cut(window), schema).select("carried.*", *results)

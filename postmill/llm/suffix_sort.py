@@ -1,131 +1,81 @@
 """Suffix arrays by induced sorting, and permuted common prefixes.
 
 A suffix is smaller (S) or larger (L) than the one after it; a leftmost S (LMS) follows an L. The LMS
-substrings are sorted by inducing, named, sorted as a string of names by recursion, and the rest of the
-array is induced from them. Inducing works bucket by bucket: what a bucket's suffixes induce into other
-buckets is placed in one numpy step, what they induce into their own bucket in one further step for each
-round. The names of a recursion have many small buckets, so it is induced suffix by suffix.
+substrings are sorted by inducing, named, sorted as strings of names by recursion, and the rest of the
+array is induced from them. Inducing is a scan of the array in which each place depends on the ones
+before it; many strings are scanned side by side, one place of each in a numpy step.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-# Alphabets up to this size are induced bucket by bucket.
-BUCKETWISE = 1024
-
-
-def _types(text: np.ndarray) -> np.ndarray:
-    """True where a suffix is smaller than the next one; the last suffix is the smallest."""
+def _types(text: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """True where a suffix is smaller than the next one; the last suffix of a string is the smallest."""
     n = len(text)
     rise = np.zeros(n, dtype=np.int8)  # 1: smaller, -1: larger, 0: as the next one
-    rise[:-1] = np.sign(text[1:].astype(np.int64) - text[:-1])
-    rise[-1] = 1
-    known = np.where(rise != 0, np.arange(n), n)
+    rise[:-1] = (text[1:] > text[:-1]).astype(np.int8) - (text[1:] < text[:-1])
+    rise[last] = 1
+    known = np.where(rise != 0, np.arange(n, dtype=np.int32), np.int32(n))
     return rise[np.minimum.accumulate(known[::-1])[::-1]] == 1
 
 
-def _place(out: np.ndarray, slots: np.ndarray, text: np.ndarray, suffixes: np.ndarray, step: int) -> None:
-    """Put suffixes, in order, at their buckets' next slots; step 1 from the front, -1 from the back."""
-    if not len(suffixes):
-        return
-    symbol = text[suffixes]
-    order = np.argsort(symbol, kind="stable")
-    symbol = symbol[order]
-    head = np.concatenate([[0], np.flatnonzero(symbol[1:] != symbol[:-1]) + 1])
-    sizes = np.diff(np.append(head, len(symbol)))
-    within = np.arange(len(symbol)) - np.repeat(head, sizes)
-    out[slots[symbol] + step * within] = suffixes[order]
-    slots[symbol[head]] += step * sizes
-
-
-def _bucketwise(text: np.ndarray, smaller: np.ndarray, lms: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Suffix array induced from LMS suffixes in their order."""
+def _induce(text: np.ndarray, smaller: np.ndarray, lms: np.ndarray, begins: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Suffix arrays induced from LMS suffixes in their order, all strings side by side."""
     n = len(text)
-    out = np.full(n, -1, dtype=np.int64)
-    tails = begins[1:] - 1
-    _place(out, tails.copy(), text, lms[::-1], -1)
-    heads = begins[:-1].copy()
-    used = np.flatnonzero(np.diff(begins))
-    for c in used:  # L suffixes, upwards
-        at, end = begins[c], begins[c + 1]
-        while at < end:
-            to = heads[c] if at < heads[c] else end
-            own = out[at:to]
-            before = own[own > 0] - 1
-            before = before[~smaller[before]]
-            _place(out, heads, text, before, 1)
-            at = to
-            if to == end:
-                break
-    # S suffixes, downwards; LMS suffixes are placed anew with the others
-    counts = np.bincount(text[~smaller], minlength=len(begins) - 1)
-    for c in used:
-        out[begins[c] + counts[c] : begins[c + 1]] = -1
-    tails = begins[1:] - 1
-    out[begins[0]] = n - 1
-    tails[0] = begins[0] - 1
-    for c in used[::-1]:
-        at, low = begins[c + 1] - 1, begins[c] - 1
-        while at > low:
-            ready = tails[c]  # S suffixes of this bucket stand above it
-            to = ready if at > ready else low
-            own = out[to + 1 : at + 1][::-1]
-            before = own[own > 0] - 1
-            before = before[smaller[before]]
-            _place(out, tails, text, before, -1)
-            at = to
-            if to == low:
-                break
+    out = np.full(n, -1, dtype=np.int32)
+    symbol = text[lms]
+    place = np.empty(len(lms), dtype=np.int64)  # LMS suffixes fill the ends of their buckets
+    order = np.argsort(symbol, kind="stable")
+    stop = np.cumsum(np.bincount(symbol, minlength=len(begins) - 1))
+    place[order] = np.arange(len(lms)) - stop[symbol[order]] + begins[symbol[order] + 1]
+    out[place] = lms
+    out[starts] = ends - 1
+    # may the suffix before this one be induced? entry n answers for -1, an empty place
+    after = np.zeros(n + 1, dtype=bool)
+    lengths = ends - starts
+    long_first = np.argsort(-lengths, kind="stable")
+    active = np.searchsorted(np.sort(lengths), np.arange(lengths.max()), side="right")
+    active = (len(lengths) - active).tolist()
+    for step, slots, begin in ((1, begins[:-1].copy(), starts), (-1, begins[1:] - 1, ends - 1)):
+        after[1:n] = smaller[:-1] if step < 0 else ~smaller[:-1]
+        after[starts] = False
+        at = begin[long_first].astype(np.int64)
+        for m in active:
+            if m < len(at):
+                at = at[:m]
+            i = out[at]
+            before = i[after[i]] - 1
+            c = text[before]
+            slot = slots[c]
+            out[slot] = before
+            slots[c] = slot + step
+            at += step
+    out[starts] = ends - 1
     return out
 
 
-def _one_by_one(text: np.ndarray, smaller: np.ndarray, lms: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """As `_bucketwise`, for large alphabets."""
-    n = len(text)
-    symbols, small = text.tolist(), smaller.tolist()
-    out = [-1] * n
-    tails = (begins[1:] - 1).tolist()
-    for j in lms[::-1].tolist():
-        c = symbols[j]
-        out[tails[c]] = j
-        tails[c] -= 1
-    heads = begins[:-1].tolist()
-    for i in range(n):
-        j = out[i] - 1
-        if j >= 0 and not small[j]:
-            c = symbols[j]
-            out[heads[c]] = j
-            heads[c] += 1
-    tails = (begins[1:] - 1).tolist()
-    for i in range(n - 1, -1, -1):
-        j = out[i] - 1
-        if j >= 0 and small[j]:
-            c = symbols[j]
-            out[tails[c]] = j
-            tails[c] -= 1
-    out[0] = n - 1
-    return np.array(out, dtype=np.int64)
-
+def suffix_arrays(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Suffix arrays, one after the other, of strings that begin at `starts`.
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Suffix array of a string of integers that ends with its only 0."""
+    Each string ends with a symbol of its own, less than its others, and a string's symbols are all less
+    than the next string's.
+    """
+    text = text.astype(np.int32)
     n = len(text)
-    if n <= 2:
-        return np.arange(n - 1, -1, -1)
-    alphabet = int(text.max()) + 1
-    begins = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=alphabet))])
-    induce = _bucketwise if alphabet <= BUCKETWISE else _one_by_one
-    smaller = _types(text)
+    ends = np.append(starts[1:], n)
+    begins = np.concatenate([[0], np.cumsum(np.bincount(text))])
+    smaller = _types(text, ends - 1)
     is_lms = np.zeros(n, dtype=bool)
     is_lms[1:] = smaller[1:] & ~smaller[:-1]
-    lms = np.flatnonzero(is_lms)
-    if len(lms) < 2:
-        return induce(text, smaller, lms, begins)
-    order = induce(text, smaller, lms, begins)
+    is_lms[starts] = False
+    lms = np.flatnonzero(is_lms).astype(np.int32)
+    order = _induce(text, smaller, lms, begins, starts, ends)
+    if not len(lms):
+        return order
     order = order[is_lms[order]]  # LMS substrings sorted
     # equal neighbours get one name
-    place = np.empty(n, dtype=np.int64)
+    place = np.empty(n, dtype=np.int32)
     place[lms] = np.arange(len(lms))
     k = place[order]
     stop = np.append(lms[1:], n - 1)
@@ -140,11 +90,12 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         same[pairs[~equal]] = False
         step += 1
         pairs = pairs[equal & (length[pairs] > step)]
-    names = np.empty(len(lms), dtype=np.int64)
-    names[k] = np.cumsum(~same) - 1
     if same.any():
-        order = lms[suffix_array(names)]
-    return induce(text, smaller, order, begins)
+        names = np.empty(len(lms), dtype=np.int32)
+        names[k] = np.cumsum(~same) - 1
+        first = np.searchsorted(lms, starts)
+        order = lms[suffix_arrays(names, first[np.diff(np.append(first, len(lms))) > 0])]
+    return _induce(text, smaller, order, begins, starts, ends)
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
@@ -154,16 +105,13 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, limit: int) -> np.ndarr
     the other places, which are few in repetitive text, are compared eight symbols at a time.
     """
     n = len(text)
-    before = np.empty(n, dtype=np.int64)
+    before = np.full(n, -1, dtype=np.int32)
     before[order[1:]] = order[:-1]
-    before[order[0]] = -1
     has = before >= 0
     fresh = np.ones(n, dtype=bool)
     fresh[1:] = ~has[1:] | ~has[:-1] | (before[1:] == 0) | (text[:-1] != text[before[1:] - 1])
-    # `limit` is met along a chain only if the first of it was compared further than the limit
     places = np.flatnonzero(fresh & has)
     found = np.zeros(n, dtype=np.int64)
-    padded = np.concatenate([text.astype(np.uint16), np.arange(4096, 4096 + 8, dtype=np.uint16)])
     a, b = places, before[places]
     alive, step = np.arange(len(places)), np.zeros(len(places), dtype=np.int64)
     while len(alive):
@@ -171,7 +119,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, limit: int) -> np.ndarr
         equal = np.ones(len(alive), dtype=bool)
         for _ in range(8):
             inside = equal & (x < n) & (y < n)
-            equal = inside & (padded[np.minimum(x, n)] == padded[np.minimum(y, n)])
+            equal = inside & (text[np.minimum(x, n - 1)] == text[np.minimum(y, n - 1)])
             step[alive[equal]] += 1
             x, y = x + 1, y + 1
         alive = alive[equal]
