@@ -36,3 +36,12 @@ def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
     kept = remove_repeated_bytes(table(spark, folder, "documents"), keep=["doc_id"])
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@query
+def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of each document."""
+    from .simhash import near_duplicates
+
+    found = near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")

@@ -13,7 +13,7 @@ from .suffix_sort import common_prefixes, suffix_arrays
 # Bytes an anchor is taken from.
 GRAM = 32
 # Bytes of passages sorted side by side, and in one string of them.
-SIDE_BY_SIDE, STRING = 8 << 20, 16 << 10
+SIDE_BY_SIDE, STRING = 8 << 20, 4 << 10
 
 
 def _answer(window: int):
