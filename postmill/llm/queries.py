@@ -45,3 +45,82 @@ def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
     found = near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents packed into sequences of at most 2048 tokens."""
+    import public_tokenizers
+
+    from .packing import pack_documents
+
+    return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words taken of each document when sources are mixed 3:1:2 to 150% of all words."""
+    from .mixing import mix
+
+    return mix(table(spark, folder, "documents"), keep=["doc_id", "source"]).select("doc_id", "size", "source_size", "target", "taken")
+
+
+SQL["op4_mixing"] = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, text, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [3.0, 1.0, 2.0][1 + (row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3]::DOUBLE AS weight
+  FROM sized GROUP BY source
+), levels AS (
+  SELECT 0 AS step, 0::DOUBLE AS level, -1::DOUBLE AS previous
+  UNION ALL
+  SELECT step + 1, (SELECT (1.5::DOUBLE * sum(source_size)::DOUBLE - coalesce(sum(2.0::DOUBLE * source_size) FILTER (2.0::DOUBLE * source_size <= level * weight), 0))
+      / sum(weight) FILTER (2.0::DOUBLE * source_size > level * weight) FROM sources), level
+  FROM levels WHERE level <> previous AND step < 100
+), goals AS (
+  SELECT source, source_size, least(2.0::DOUBLE * source_size, weight * (SELECT max(level) FROM levels)) AS target,
+    (('0x' || md5('7:' || coalesce('=' || source, 'null'))[1:13])::BIGINT)::DOUBLE / 4503599627370496 AS shift
+  FROM sources
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, doc_id) AS place FROM sized
+)
+SELECT doc_id, size, source_size, target,
+  ((floor(place * (CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END) + shift)
+    - floor((place - 1) * (CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END) + shift))::BIGINT * size)::BIGINT AS taken
+FROM placed JOIN goals ON placed.source IS NOT DISTINCT FROM goals.source
+"""
+
+# The rules of the URL query (verdict, host, path).
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
+
+
+@query
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on each page's URL."""
+    from .url_filter import judge
+
+    return judge(table(spark, folder, "pages"), URL_RULES, keep=["page_id"])
+
+
+SQL["op5_url_filter"] = r"""
+WITH cut AS (
+  SELECT page_id, coalesce(regexp_extract(url, '^(.*?)://(.*)$', 2, 's'), '') AS tail FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(tail, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(tail, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
+), ruled AS (
+  SELECT *, CASE
+    WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM parts
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled
+"""
