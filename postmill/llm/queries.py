@@ -124,3 +124,37 @@ WITH cut AS (
 )
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled
 """
+
+
+@query
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule counts of each document and whether rules and forest keep it."""
+    from .quality_rules import COUNTS, apply_rules
+
+    found = apply_rules(table(spark, folder, "documents"), table(spark, folder, "labels"), keep=["doc_id"])
+    return found.select("doc_id", *COUNTS, "base_failed", "kept", "anomaly")
+
+
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected severity of each document."""
+    from .toxicity import grade
+
+    return grade(table(spark, folder, "documents"), table(spark, folder, "labels"), keep=["doc_id"])
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of each document from compressed sizes."""
+    from .compression_classifier import score_quality
+
+    return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"), keep=["doc_id"])
+
+
+@query
+def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    from .neighbours import search
+
+    vectors = table(spark, folder, "embeddings")
+    return search(vectors, vectors.where(F.col("vec_id") % 20 == 0))
