@@ -41,7 +41,7 @@ def _answer(window: int):
     return run
 
 
-def _cut(window: int):
+def _cut(window: int, respace: bool):
     def run(batches):
         for batch in batches:
             ranges = batch.column("ranges")
@@ -58,6 +58,9 @@ def _cut(window: int):
                         s, e = s[stay], e[stay]
                     else:
                         removed.append(0)
+                        if not respace:
+                            kept.append(data[bounds[k - a] : bounds[k - a + 1]].tobytes().decode("utf-8", "replace"))
+                            continue
                     if not len(s):
                         kept.append("")
                         continue
@@ -71,13 +74,14 @@ def _cut(window: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, window: int = 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, window: int = 20, respace: bool = True) -> DataFrame:
     """Documents without the words of windows that start earlier in the corpus.
 
     Words are runs of anything but ASCII white space, unchanged. A window is `window` consecutive words of
     one document; earlier means a smaller id, or the same document and an earlier start. Windows are judged
     on the input. Result: the columns `keep` (all but the text by default), then `n_words`, `n_removed`,
-    `kept_text` (kept words joined by one space); result columns replace kept ones of the same name.
+    `kept_text` (kept words joined by one space; without `respace`, texts that lose nothing stay as they are);
+    result columns replace kept ones of the same name.
 
     A null or empty text has no words and an empty `kept_text`. A null id sorts last. Rows with one id and
     one text count as one document, each with the same result; one id with different texts is ordered by the
@@ -88,4 +92,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = keyed(docs, id_col, text_col, keep)
     found = repeated_windows(texts, Unit(words=True, window=window, gram=min(GRAM, window)), _answer(window), INDEX)
     schema = f"carried {found.schema['carried'].dataType.simpleString()}, n_words long, n_removed long, kept_text string"
-    return found.mapInArrow(_cut(window), schema).select("carried.*", *results)
+    return found.mapInArrow(_cut(window, respace), schema).select("carried.*", *results)
