@@ -15,8 +15,10 @@ from . import flat
 from .scratch import settle, shards
 
 END = 0
-# Distinct words of a map task whose ids are kept.
-CACHE = 1 << 18
+# A character that is one token where it stands alone.
+MARK = "~"
+# Distinct words whose ids a worker keeps.
+CACHE = 1 << 20
 # Pieces packed by one task.
 TASK_PIECES = 1 << 20
 
@@ -25,7 +27,7 @@ class Encoder:
     """Token ids of whole texts.
 
     The tokenizer drops white space and splits at it first, so a text's ids are those of its words one after
-    the other. Each distinct word is encoded once per task while the cache has room.
+    the other. Each distinct word is encoded once while the cache has room.
     """
 
     def __init__(self, path: str):
@@ -36,19 +38,41 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids[0]
         self.known = np.zeros(0, dtype=np.uint64)  # hashes, sorted
         self.at = np.zeros(0, dtype=np.int64)
         self.size = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(0, dtype=np.uint32)
 
+    def _encoded(self, texts: list[str], step: int = 1024) -> tuple[np.ndarray, list[int]]:
+        """Ids of all words with a mark after each, and the words left out.
+
+        Words go to the tokenizer many at a time, parted by a mark that is a token of its own; words that hold
+        the mark are left out.
+        """
+        alone = [k for k, t in enumerate(texts) if MARK in t]
+        for k in alone:
+            texts[k] = ""
+        joined = [f" {MARK} ".join([*texts[a : a + step], ""]) for a in range(0, len(texts), step)]
+        ids = np.concatenate([np.array(x.ids, dtype=np.uint32) for x in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)])
+        return ids, alone
+
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ids = [x.ids for x in found]
-        size = np.array([len(x) for x in ids], dtype=np.int64)
+        whole = list(texts)
+        ids, alone = self._encoded(texts)
+        marks = np.flatnonzero(ids == self.mark)
+        size = np.diff(np.concatenate([[-1], marks])) - 1
+        ids = ids[ids != self.mark]
+        if alone:  # put the ids of these words in their places
+            own = [self.tokenizer.encode(whole[k], add_special_tokens=False).ids for k in alone]
+            parts = np.split(ids, np.cumsum(size)[:-1])
+            for k, found in zip(alone, own, strict=True):
+                parts[k] = np.array(found, dtype=np.uint32)
+            ids, size = np.concatenate(parts), np.array([len(x) for x in parts], dtype=np.int64)
         if len(self.known) + len(hashes) > CACHE:  # start again with the words at hand
             self.known, self.at, self.size, self.ids = self.known[:0], self.at[:0], self.size[:0], self.ids[:0]
         at = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=int(size.sum()))])
+        self.ids = np.concatenate([self.ids, ids])
         known = np.concatenate([self.known, hashes])
         order = np.argsort(known, kind="stable")
         self.known, self.at, self.size = known[order], np.concatenate([self.at, at])[order], np.concatenate([self.size, size])[order]
@@ -74,6 +98,16 @@ class Encoder:
         return self.ids[flat.ragged(at, size)], total[first]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """The worker's encoder, which the tasks it runs share."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048) -> DataFrame:
     """Pieces of at most `capacity` tokens: `doc_id`, `piece`, `start`, `length`, `ids_crc32`.
 
@@ -82,9 +116,8 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        encoder = _encoder(tokenizer)
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer)
             out: list[tuple] = []
             names = batch.column("id")
             for a, b, data, bounds in flat.groups(batch, size=1 << 22):
