@@ -72,8 +72,10 @@ def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return total
 
 
-def _matrix(column: pa.Array, size: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float64).reshape(-1, size)
+def _matrix(values: pa.Array | list[bytes], kind: np.dtype, size: int) -> np.ndarray:
+    """Packed vectors in double precision."""
+    body = b"".join(values.to_pylist() if isinstance(values, pa.Array) else map(bytes, values))
+    return np.frombuffer(body, dtype=kind).reshape(-1, size).astype(np.float64)
 
 
 def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +88,7 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[real], top[real]
 
 
-def _distinct(rows: DataFrame, k: int) -> DataFrame:
+def _distinct(rows: DataFrame, kind: np.dtype, k: int) -> DataFrame:
     """`vec`, `node` (its least id), the k + 1 least `ids` (more are never asked for), the dimension's vectors once.
 
     Ids are cut down in each batch, then by salted groups, so that no task gathers those of a frequent vector.
@@ -97,7 +99,7 @@ def _distinct(rows: DataFrame, k: int) -> DataFrame:
             frame = pd.DataFrame({"id": batch.column("id").to_pylist(), "vec": [np.asarray(v, dtype=np.float64) for v in batch.column("vec").to_pylist()]})
             good = [len(v) > 0 and bool(np.isfinite(v).all()) and bool(v.any()) for v in frame["vec"]]
             frame = frame[good].sort_values("id")
-            frame["vec"] = [(v + 0.0).tobytes() for v in frame["vec"]]  # no negative zero
+            frame["vec"] = [(v + 0.0).astype(kind).tobytes() for v in frame["vec"]]  # no negative zero
             found = frame.groupby("vec", sort=False)["id"].agg(lambda ids: ids.head(k + 1).tolist())
             yield pa.RecordBatch.from_pydict({"vec": pa.array(list(found.index), pa.binary()), "ids": pa.array(list(found), pa.list_(pa.int64()))})
 
@@ -126,18 +128,20 @@ def search(
     """
     spark = vectors.sparkSession
     shape = lambda t: t.select(F.col(id_col).cast("long").alias("id"), F.transform(F.col(vec_col), lambda v: v.cast("double")).alias("vec")).where("id is not null and vec is not null").distinct()
-    points = settle(_distinct(shape(vectors), k), "vectors")
-    asked = settle(shape(queries).join(shape(vectors), ["id", "vec"]).select(F.col("id").alias("query_id"), "vec").mapInArrow(_bytes, "query_id long, vec binary"), "queries")
+    plain = all("array<float>" in t.schema[vec_col].dataType.simpleString() for t in (vectors, queries))
+    kind = np.dtype(np.float32 if plain else np.float64)  # as stored; products are in double precision
+    points = settle(_distinct(shape(vectors), kind, k), "vectors")
+    asked = settle(shape(queries).join(shape(vectors), ["id", "vec"]).select(F.col("id").alias("query_id"), "vec").mapInArrow(_bytes(kind), "query_id long, vec binary"), "queries")
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sizes = points.groupBy(F.length("vec").alias("bytes")).count().orderBy(F.desc("count"), "bytes").limit(1).collect()
     if not sizes:
         return empty
-    size = sizes[0]["bytes"] // 8
-    points, asked = points.where(F.length("vec") == 8 * size), asked.where(F.length("vec") == 8 * size)
+    size = sizes[0]["bytes"] // kind.itemsize
+    points, asked = points.where(F.length("vec") == kind.itemsize * size), asked.where(F.length("vec") == kind.itemsize * size)
 
     def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_pydict({"norm": pa.array((_matrix(batch.column("vec"), size) ** 2).sum(1))})
+            yield pa.RecordBatch.from_pydict({"norm": pa.array((_matrix(batch.column("vec"), kind, size) ** 2).sum(1))})
 
     longest = float(points.select("vec").mapInArrow(norms, "norm double").agg(F.max("norm")).first()[0])
     wanted = settle(asked.select("vec").distinct().withColumn("query", F.xxhash64("vec")), "query-vectors")
@@ -150,18 +154,18 @@ def search(
         return np.column_stack([x / np.sqrt(longest), np.sqrt(np.maximum(1 - own / longest, 0))])
 
     fit = points.orderBy(F.xxhash64("vec"), "vec").limit(fit_rows).select("vec").collect()
-    curves = Orderings(lift(np.frombuffer(b"".join(bytes(r.vec) for r in fit), dtype=np.float64).reshape(-1, size), False), orderings, dims, bits)
+    curves = Orderings(lift(_matrix([r.vec for r in fit], kind, size), False), orderings, dims, bits)
 
     def keys(query: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                x = lift(_matrix(batch.column("vec"), size), query)
+                x = lift(_matrix(batch.column("vec"), kind, size), query)
                 for which in range(orderings):
-                    yield pa.RecordBatch.from_pydict({"curve": pa.array(np.full(len(x), which, np.int32)), "key": pa.array(curves.key(which, x)), "node": batch.column("node"), "query": pa.array(np.full(len(x), query)), "vec": batch.column("vec")})
+                    yield pa.RecordBatch.from_pydict({"curve": pa.array(np.full(len(x), which, np.int32)), "key": pa.array(curves.key(which, x)), "node": batch.column("node"), "query": pa.array(np.full(len(x), query))})
 
         return run
 
-    schema = "curve int, key long, node long, query boolean, vec binary"
+    schema = "curve int, key long, node long, query boolean"
     entries = points.select("node", "vec").mapInArrow(keys(False), schema).unionByName(wanted.select(F.col("query").alias("node"), "vec").mapInArrow(keys(True), schema))
     # places: number within each range partition, moved on by the partitions before
     order = ["curve", "key", "query", "node"]
@@ -169,16 +173,17 @@ def search(
     ranged = settle(ranged.withColumn("local", F.row_number().over(Window.partitionBy("part", "curve").orderBy(*order))), "orderings")
     counts = ranged.groupBy("part", "curve").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    places = ranged.join(counts.withColumn("before", before), ["part", "curve"]).select("curve", "query", "node", "vec", (F.col("local") + F.col("before")).alias("place"))
+    places = ranged.join(counts.withColumn("before", before), ["part", "curve"]).select("curve", "query", "node", (F.col("local") + F.col("before")).alias("place"))
     places = settle(places, "places")
-    window = _window(points, wanted, places, size, k, probes, recall)
-    found = _windows(places, window, size, k)
+    window = _window(points, wanted, places, kind, size, k, probes, recall)
+    both = points.select("node", "vec", F.lit(False).alias("query")).unionByName(wanted.select(F.col("query").alias("node"), "vec", F.lit(True).alias("query")))
+    found = _windows(places.join(both, ["query", "node"]), window, kind, size, k)
     # merge the windows, then rank by the exact product
     top = found.distinct().join(points.select("node", "vec", "ids"), "node").join(wanted.withColumnRenamed("vec", "query_vec"), "query")
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = _products(_matrix(batch.column("query_vec"), size), _matrix(batch.column("vec"), size))
+            score = _products(_matrix(batch.column("query_vec"), kind, size), _matrix(batch.column("vec"), kind, size))
             yield pa.RecordBatch.from_pydict({"query": batch.column("query"), "ids": batch.column("ids"), "score": pa.array(score)})
 
     scored = top.select("query", "ids", "query_vec", "vec").mapInArrow(rerank, "query long, ids array<long>, score double")
@@ -191,26 +196,31 @@ def search(
     return ranked.select("query_id", (F.col("rank") + 1).alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score"))
 
 
-def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bytes(kind: np.dtype):
     """Valid query vectors as bytes."""
-    for batch in batches:
-        own = [np.asarray(v, dtype=np.float64) + 0.0 for v in batch.column("vec").to_pylist()]
-        good = np.array([len(v) > 0 and bool(np.isfinite(v).all()) and bool(v.any()) for v in own], dtype=bool)
-        yield pa.RecordBatch.from_pydict({"query_id": batch.column("query_id").filter(pa.array(good)), "vec": pa.array([v.tobytes() for v, g in zip(own, good, strict=True) if g], pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.asarray(v, dtype=np.float64) + 0.0 for v in batch.column("vec").to_pylist()]
+            good = np.array([len(v) > 0 and bool(np.isfinite(v).all()) and bool(v.any()) for v in own], dtype=bool)
+            packed = [v.astype(kind).tobytes() for v, g in zip(own, good, strict=True) if g]
+            yield pa.RecordBatch.from_pydict({"query_id": batch.column("query_id").filter(pa.array(good)), "vec": pa.array(packed, pa.binary())})
+
+    return run
 
 
-def _window(points: DataFrame, wanted: DataFrame, places: DataFrame, size: int, k: int, probes: int, recall: float) -> int:
+def _window(points: DataFrame, wanted: DataFrame, places: DataFrame, kind: np.dtype, size: int, k: int, probes: int, recall: float) -> int:
     """Least window that holds `recall` of the true neighbours of some queries, found among all rows."""
     chosen = wanted.orderBy("query", "vec").limit(probes).collect()
     if not chosen:
         return 1
     names = np.array([r["query"] for r in chosen])
-    ask = np.frombuffer(b"".join(bytes(r["vec"]) for r in chosen), dtype=np.float64).reshape(-1, size)
+    ask = _matrix([r["vec"] for r in chosen], kind, size)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                scores = ask @ _matrix(batch.column("vec"), size).T
+                scores = ask @ _matrix(batch.column("vec"), kind, size).T
                 row, column = _best(scores, k)
                 yield pa.RecordBatch.from_pydict({"query": pa.array(names[row]), "node": pa.array(batch.column("node").to_numpy()[column]), "score": pa.array(scores[row, column])})
 
@@ -224,7 +234,7 @@ def _window(points: DataFrame, wanted: DataFrame, places: DataFrame, size: int,
     return int(np.quantile(least, recall, method="higher")) if len(least) else 1
 
 
-def _windows(places: DataFrame, window: int, size: int, k: int) -> DataFrame:
+def _windows(places: DataFrame, window: int, kind: np.dtype, size: int, k: int) -> DataFrame:
     """`query`, `node`: the k best rows of each query in each ordering's window, by chunk of rows.
 
     Chunks of rows are packed once; a chunk with queries meets the chunks within the window, one pair at a time.
@@ -254,7 +264,7 @@ def _windows(places: DataFrame, window: int, size: int, k: int) -> DataFrame:
             for row in batch.to_pylist():
                 ask, at = np.frombuffer(row["asks"], dtype=np.int64), np.frombuffer(row["ask_places"], dtype=np.int64)
                 node, place = np.frombuffer(row["nodes"], dtype=np.int64), np.frombuffer(row["node_places"], dtype=np.int64)
-                scores = np.frombuffer(row["ask_vecs"], dtype=np.float64).reshape(-1, size) @ np.frombuffer(row["vecs"], dtype=np.float64).reshape(-1, size).T
+                scores = _matrix([row["ask_vecs"]], kind, size) @ _matrix([row["vecs"]], kind, size).T
                 scores[np.abs(at[:, None] - place[None, :]) > window] = -np.inf
                 if not scores.size:
                     continue
