@@ -5,7 +5,7 @@ Shared by the two exact substring operators. Five steps:
 1. Each text is cut into runs of windows that share an anchor (`flat.window_runs`). Equal windows have
    equal anchors wherever they stand. Anchors go to reducers, one entry per anchor and map buffer.
 2. Anchors that occur once in the corpus are done: their windows are unique. The other runs are listed
-   by document. Anchors that fill much of a reducer are listed as heavy: at most `HEAVY` per reducer.
+   by document. Anchors that fill an eighth of a reducer or more are listed as heavy: at most `HEAVY` per reducer.
 3. The passages of listed runs go to the shard of their anchor, equal passages of a map buffer once.
    A heavy anchor's passages are cut into single windows and dealt out by their content instead.
 4. Each shard builds its index and says which windows start earlier somewhere else.
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from . import flat
 from .scratch import settle, shards
 
-# Heaviest anchors listed by each reducer, and the occurrences that make one heavy.
-HEAVY, HEAVY_COUNT = 8, 1024
+# Heaviest anchors listed by each reducer: each has an eighth of its entries, and so many occurrences, at least.
+HEAVY, HEAVY_COUNT = 8, 4096
 # Entries, and bytes of passages, that a map buffer holds.
 BUFFER_ROWS, BUFFER_BYTES = 1 << 20, 16 << 20
 SHARD_BYTES = 16 << 20
@@ -219,7 +219,7 @@ def _repeated_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterat
     kept = ~asked
     kept[asked] = total[back] > 1
     doc, twin, first = doc[kept], twin[kept], first[kept].astype(np.int64)
-    heavy = np.flatnonzero(total >= HEAVY_COUNT)
+    heavy = np.flatnonzero(total >= max(HEAVY_COUNT, total.sum() / HEAVY))
     heavy = heavy[np.argsort(-total[heavy], kind="stable")[:HEAVY]]
     columns = _to_documents(doc, twin, first, np.zeros(len(doc), dtype=np.int64), buckets)
     none = pa.nulls(len(columns["bucket"]), pa.int64())

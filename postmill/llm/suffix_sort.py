@@ -10,6 +10,10 @@ from __future__ import annotations
 
 import numpy as np
 
+# With fewer strings left, they are scanned one after the other.
+FEW = 24
+
+
 def _types(text: np.ndarray, last: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the next one; the last suffix of a string is the smallest."""
     n = len(text)
@@ -44,6 +48,8 @@ def _induce(text: np.ndarray, smaller: np.ndarray, lms: np.ndarray, begins: np.n
         for m in active:
             if m < len(at):
                 at = at[:m]
+            if m < FEW:
+                break
             i = out[at]
             before = i[after[i]] - 1
             c = text[before]
@@ -51,10 +57,29 @@ def _induce(text: np.ndarray, smaller: np.ndarray, lms: np.ndarray, begins: np.n
             out[slot] = before
             slots[c] = slot + step
             at += step
+        else:
+            continue
+        for place, k in zip(at.tolist(), long_first[: len(at)].tolist(), strict=True):
+            _scan_alone(out, text, after, slots, int(starts[k]), int(ends[k]), place, step)
     out[starts] = ends - 1
     return out
 
 
+def _scan_alone(out: np.ndarray, text: np.ndarray, after: np.ndarray, slots: np.ndarray, start: int, end: int, place: int, step: int) -> None:
+    """The rest of one string's scan, place by place."""
+    symbols = text[start:end]
+    low, high = int(symbols.min()), int(symbols.max()) + 1
+    symbol, may = (symbols - low).tolist(), after[start:end].tolist()
+    own, slot = (out[start:end] - start).tolist(), (slots[low:high] - start).tolist()
+    for i in range(place - start, end - start) if step > 0 else range(place - start, -1, -1):
+        j = own[i]
+        if j > 0 and may[j]:
+            c = symbol[j - 1]
+            own[slot[c]] = j - 1
+            slot[c] += step
+    out[start:end] = np.maximum(np.array(own, dtype=np.int32) + start, -1)
+
+
 def suffix_arrays(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Suffix arrays, one after the other, of strings that begin at `starts`.
 
