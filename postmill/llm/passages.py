@@ -87,6 +87,12 @@ class Passages:
         rows = [getattr(self, k)[index] for k, _ in self.FIELDS[:-1]]
         return Passages(*rows, self.body[flat.ragged(starts[index], self.size[index].astype(np.int64))])
 
+    def again(self) -> np.ndarray:
+        """Mask of passages that are the one before once more: a row repeated in the table."""
+        out = np.zeros(len(self), dtype=bool)
+        out[1:] = (self.doc[1:] == self.doc[:-1]) & (self.twin[1:] == self.twin[:-1]) & (self.first[1:] == self.first[:-1])
+        return out
+
     def __len__(self) -> int:
         return len(self.doc)
 
@@ -253,7 +259,9 @@ def _ship(unit: Unit, heavy: np.ndarray, buckets: int):
     def flush(parts, hashes):
         p, content = Passages.joined(parts), np.concatenate(hashes)
         order = np.lexsort((p.first, p.twin, p.doc, content))
-        head = np.ones(len(p), dtype=bool)
+        keys = Passages(p.doc[order], p.twin[order], p.first[order], *[p.n[:0]] * 4)
+        order = order[~keys.again()]
+        head = np.ones(len(order), dtype=bool)
         head[1:] = content[order][1:] != content[order][:-1]
         earliest = p.take(order[head])
         yield from rows(earliest, (flat.mix(earliest.anchor) >> np.uint64(33)).astype(np.int64) % buckets, False)
@@ -318,6 +326,7 @@ def _answers(answer: Answer, buckets: int, piece_bytes: int):
             for a, b in zip(begins, begins[1:], strict=False):
                 own = passages.take(order[a:b])
                 own = own.take(np.lexsort((own.first, own.twin, own.doc)))
+                own = own.take(np.flatnonzero(~own.again()))
                 who, first, n = answer(own)
                 out.append((own.doc[who], own.twin[who], first, n))
         if not out:
