@@ -132,7 +132,6 @@ PAYLOAD_SECTIONS = (
 RAW_PDF_URL = r"(?i)https?://[^\s\"'<>]+?\.pdf(?:\?[^\s\"'<>]*)?"
 RAW_PDF_PATH = r"(?i)/[^\s\"'<>]+?\.pdf(?:\?[^\s\"'<>]*)?"
 
-FRAGMENT_MARKER = "!|!!*!"
 FRAGMENT_END = r"(?s)!\|!\d{6,8}!\|!.*"
 
 # (status, reason, message parts), first hit wins
@@ -157,11 +156,6 @@ GATE_FALLBACKS = {
     "allow_empty": False,
 }
 
-DEFAULT_GATES = {
-    "defaults": {"min_words": 50, "max_words": 10_000, "max_fetch_seconds_per_job": 30.0},
-    "org_overrides": {},
-}
-
 RULES = (
     "browser_orgs",
     "browser_domains",

@@ -43,6 +43,8 @@ def flag_inside(
             known = F.array(*[F.lit(v) for v in values])
             hit = F.coalesce(F.exists(known, lambda v: F.contains(text, v)), F.lit(False))
         return df.withColumn(out, hit)
+    if rules.filter((F.col("rule") == rule) & (F.col("value") == "")).limit(1).collect():
+        return df.withColumn(out, text.isNotNull())  # every text contains a blank value
     # Beyond the limit: every substring of each distinct host meets the rules in an equi-join.
     df = df.withColumn("_text", text)
     starts = F.sequence(F.lit(1), F.length("_text"))

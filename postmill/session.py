@@ -22,23 +22,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# A larger table than this has enough scan tasks of its own.
-SMALL_TABLE_BYTES = 256 * 1024 * 1024
-
-
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a file or folder."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.getContentSummary(hadoop).getLength()
-
-
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A landed table. A small one is spread over the cores, a larger one stays unshuffled."""
-    rows = spark.read.parquet(path)
-    if path_bytes(spark, path) > SMALL_TABLE_BYTES:
-        return rows
-    return rows.repartition(spark.sparkContext.defaultParallelism)
+    """A landed table. `spark.sql.files.maxPartitionBytes` decides how many tasks parse it."""
+    return spark.read.parquet(path)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -39,13 +39,19 @@ def write_postings(
     return path
 
 
-def write_state(state: DataFrame, state_dir: str, keep: DataFrame | None = None) -> str:
-    """Write a new state snapshot; `keep` holds the earlier rows of organisations not in this run.
+def write_state(
+    state: DataFrame, state_dir: str, keep: DataFrame | None = None, ran: DataFrame | None = None
+) -> str:
+    """Write a new state snapshot; `keep` holds the earlier rows, which organisations not in this run retain.
 
-    A snapshot never overwrites what the plan reads.
+    `ran` lists the organisations (`org_abbrev`) that ran without a source failure, so that one which found
+    nothing is emptied; without it, only organisations with rows count as run. A snapshot never overwrites what the plan reads.
     """
     if keep is not None:
-        touched = state.select("org_abbrev").distinct()
+        touched = state.select("org_abbrev")
+        if ran is not None:
+            touched = touched.union(ran.select("org_abbrev"))
+        touched = touched.distinct()
         state = state.unionByName(keep.join(touched, "org_abbrev", "left_anti"))
     stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
     path = f"{state_dir}/snapshot={stamp}"

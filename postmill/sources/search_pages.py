@@ -5,7 +5,7 @@ Input rows are `(source_id, page_no, body)`. A body that is not the expected JSO
 
 from collections.abc import Collection, Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from postmill import constants as C
 from postmill.functions.text import blank_if_null
@@ -55,6 +55,34 @@ def facet_listings(pages: DataFrame, base_url: Column, api_url: Column) -> DataF
     )
 
 
+def _table_pages(pages: DataFrame, deduplicate: bool) -> DataFrame:
+    """Pages of a source up to the one that is empty, brings no new posting or reaches the total.
+
+    Decided on narrow rows, one per page; a page without a total ends its source.
+    """
+    parsed = F.from_json("body", _TABLE)
+    facts = pages.select(
+        "source_id",
+        "page_no",
+        F.coalesce(F.size(parsed["requisitionList"]), F.lit(0)).alias("_size"),
+        F.coalesce(parsed["pagingData"]["totalCount"], F.lit(0)).alias("_total"),
+    )
+    if deduplicate:
+        number = blank_if_null(F.col("item.contestNo"))
+        items = _items(pages, _TABLE, "requisitionList").select("source_id", "page_no", number.alias("_number"))
+        firsts = items.groupBy("source_id", "_number").agg(F.min("page_no").alias("page_no"))
+        fresh = firsts.groupBy("source_id", "page_no").agg(F.count(F.lit(1)).alias("_fresh"))
+        facts = facts.join(fresh, ["source_id", "page_no"], "left").withColumn("_fresh", F.coalesce("_fresh", F.lit(0)))
+    else:
+        facts = facts.withColumn("_fresh", F.col("_size"))
+    so_far = Window.partitionBy("source_id").orderBy("page_no").rowsBetween(Window.unboundedPreceding, 0)
+    facts = facts.withColumn("_kept", F.sum("_fresh").over(so_far))
+    last = (F.col("_fresh") <= 0) | (F.col("_kept") >= F.col("_total"))
+    ends = facts.filter(last).groupBy("source_id").agg(F.min("page_no").alias("_end"))
+    joined = pages.join(ends, "source_id", "left")
+    return joined.filter(F.col("_end").isNull() | (F.col("page_no") <= F.col("_end"))).drop("_end")
+
+
 def table_listings(
     pages: DataFrame,
     base_url: Column,
@@ -63,10 +91,11 @@ def table_listings(
     strip_columns: Collection[int] = (),
     deduplicate: bool = False,
 ) -> DataFrame:
-    """Positional-column pages; a missing column is empty, the posting number comes along."""
-    size = F.coalesce(F.size(F.from_json("body", _TABLE)["requisitionList"]), F.lit(0))
-    readable = _before_stop(pages.withColumn("_size", size), F.col("_size") <= 0)
-    items = _items(readable, _TABLE, "requisitionList")
+    """Positional-column pages; a missing column is empty, the posting number comes along.
+
+    A source ends where `pagingData.totalCount` rows are kept or, with `deduplicate`, a page brings no new number.
+    """
+    items = _items(_table_pages(pages, deduplicate), _TABLE, "requisitionList")
     number = blank_if_null(F.col("item.contestNo"))
     fields = {}
     for at, name in column_map.items():

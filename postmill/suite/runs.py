@@ -339,19 +339,23 @@ def enriched_state(spark, folder):
         UNION ALL SELECT 'GONE', 'ok', 1, 1""",
 )
 def stored_state(spark, folder):
-    """Write the state beside the earlier snapshot, keep an organisation that was not in the run."""
+    """Write the state beside the earlier snapshot, keep an organisation that was not in the run, empty one that was."""
     home = scratch_path(spark, "state")
     rows = run_listings(spark, folder)
-    gone = spark.range(1).select(
+    apart = spark.createDataFrame([("GONE",), ("EMPTIED",)], "org_abbrev string")
+    apart = apart.select(
         *[
-            F.lit({"org_abbrev": "GONE", "enrich_status": "ok", "index": 1}.get(f.name)).cast(f.dataType).alias(f.name)
+            F.col("org_abbrev")
+            if f.name == "org_abbrev"
+            else F.lit({"enrich_status": "ok", "index": 1}.get(f.name)).cast(f.dataType).alias(f.name)
             for f in STATE.fields
         ]
     )
-    write_state(run_prior(rows).unionByName(gone), home)
+    write_state(run_prior(rows).unionByName(apart), home)
     earlier = read_state(spark, home)
     done = enrich_outcomes(rows, earlier, _trust(spark), outcomes_of, chunk=F.col("chunk"))
-    write_state(new_state(done, now()), home, keep=earlier)
+    ran = rows.select("org_abbrev").union(apart.select("org_abbrev").where("org_abbrev = 'EMPTIED'"))
+    write_state(new_state(done, now()), home, keep=earlier, ran=ran)
     return read_state(spark, home).groupBy("org_abbrev", "enrich_status").agg(
         F.count(F.lit(1)).alias("rows_kept"), F.sum("index").alias("positions")
     )

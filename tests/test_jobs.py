@@ -208,6 +208,10 @@ def test_state_snapshots(spark, tmp_path):
     write_state(state_row(spark, {"org_abbrev": "A", "index": 7}), home, keep=earlier)
     assert {(r.org_abbrev, r["index"]) for r in read_state(spark, home).collect()} == {("A", 7), ("B", 1)}
     assert read_state(spark, home, ["B"]).count() == 1
+    ran = spark.createDataFrame([("A",), ("B",)], "org_abbrev string")
+    earlier = read_state(spark, home)
+    write_state(state_row(spark, {"org_abbrev": "A", "index": 8}), home, keep=earlier, ran=ran)
+    assert {(r.org_abbrev, r["index"]) for r in read_state(spark, home).collect()} == {("A", 8)}
 
 
 GATES = {"defaults": {"min_words": 50, "max_words": 10000, "max_fetch_seconds_per_job": 10.0}, "org_overrides": {}}
@@ -372,7 +376,22 @@ def test_search_pages(rows):
     found = table_listings(pages, F.lit("https://h"), F.lit("ext"), {0: "title", 1: "place", 2: "grade"}, {1}, True).collect()
     assert [(r.title, r.place, r.grade, r.job_number) for r in found] == [("Title", "Rome", "", "9")]
     assert found[0].url == "https://h/careersection/ext/jobdetail.ftl?job=9"
-    assert table_listings(pages, F.lit("https://h"), F.lit("ext"), {0: "title"}).count() == 3
+    # without a total a source ends after its first page
+    assert table_listings(pages, F.lit("https://h"), F.lit("ext"), {0: "title"}).count() == 2
+
+    def listed(total, *numbers):
+        return json.dumps({"requisitionList": [{"contestNo": n, "column": []} for n in numbers], "pagingData": {"totalCount": total}})
+
+    pages = rows(
+        schema,
+        ("total", 1, listed(3, "1", "2")), ("total", 2, listed(3, "3")), ("total", 3, listed(3, "4")),
+        ("stale", 1, listed(9, "1")), ("stale", 2, listed(9, "1")), ("stale", 3, listed(9, "2")),
+        ("broken", 1, listed(9, "1")), ("broken", 2, "<html>"), ("broken", 3, listed(9, "2")),
+    )
+    for once, expected in ((True, {"total": "123", "stale": "1", "broken": "1"}), (False, {"total": "123", "stale": "112", "broken": "1"})):
+        found = table_listings(pages, F.lit("https://h"), F.lit("ext"), {}, deduplicate=once).collect()
+        by = {s: "".join(sorted(r.job_number for r in found if r.source_id == s)) for s in expected}
+        assert by == expected
     pages = rows(schema, ("s", 1, json.dumps({"results": [{"title": "A", "id": 5}]})), ("s", 2, json.dumps({"results": [{"title": "B"}]})))
     found = simple_listings(pages, F.lit("https://example.com")).collect()
     assert [(r.title, r.url, r.location) for r in found] == [("A", "https://example.com/jobs/5", "")]
