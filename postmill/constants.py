@@ -171,8 +171,6 @@ RULES = (
 
 # --- sizes this library chooses ---------------------------------------------
 
-# A rule set up to this many values is inlined as a literal; a longer one is joined.
-MAX_INLINE_RULES = 500
 # Rows of one organisation handled by one window group; longer runs are split.
 CHUNK_ROWS = 500_000
 # Postings nested into one block row; larger organisations span several rows.

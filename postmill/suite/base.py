@@ -107,7 +107,7 @@ def sql_error(x: str, part: int) -> str:
 LISTINGS_SQL = rf"""
 listings AS (
   SELECT org_abbrev, 'Organisation ' || org_abbrev AS org_name, job_index, doc_id, text, err AS error, is_pdf,
-         {sql_strip("substr(split_part(text, chr(10), 1), 1, 80)")} AS title,
+         {sql_strip("split_part(text, chr(10), 1)")} AS title,
          CASE WHEN doc_id % 29 = 0 THEN ''
               ELSE 'https://' || lower(org_abbrev) || '.example.org/job/' || doc_id END AS url,
          CAST((doc_id * 7) % 353 AS DOUBLE) / 10 AS fetch_seconds,
@@ -166,7 +166,7 @@ def listings(spark: SparkSession, folder: str) -> DataFrame:
     error = F.when(calm, "")
     for rest, message in _FAILURES.items():
         error = error.when(doc % 41 == rest, message)
-    title = strip(F.substring(F.substring_index("text", "\n", 1), 1, 80))
+    title = strip(F.substring_index("text", "\n", 1))
     address = F.concat(
         F.lit("https://"), F.lower(org), F.lit(".example.org/job/"), doc.cast("string")
     )

@@ -410,10 +410,10 @@ def work_list_rows(spark, folder):
 
 @query(
     "forced_work_list",
-    f"WITH {LISTINGS_SQL} SELECT doc_id, url FROM listings WHERE doc_id % 5 <> 0",
+    f"WITH {LISTINGS_SQL} SELECT doc_id, url FROM listings",
 )
 def forced_work_list(spark, folder):
-    rows = work_list(current_listings(spark, folder), prior_state(spark, folder), force=True)
+    rows = work_list(listings(spark, folder), prior_state(spark, folder), force=True)
     return rows.select("doc_id", "url")
 
 
@@ -589,12 +589,12 @@ _PATH = f"'ops/runs/{RUN_ID}/pdfs/' || org_abbrev || '/' || {sql_slug('title')}
 
 @query(
     "pdf_manifest",
-    f"""WITH {LISTINGS_SQL}, named AS (SELECT *, substr(title, 1, 6) AS short FROM listings)
+    f"""WITH {LISTINGS_SQL}
         SELECT org_abbrev, job_index, path, count(*) OVER (PARTITION BY path) AS same_path
-        FROM (SELECT org_abbrev, job_index, {_PATH.replace("title", "short")} AS path FROM named) p""",
+        FROM (SELECT org_abbrev, job_index, {_PATH} AS path FROM listings) p""",
 )
 def pdf_manifest_rows(spark, folder):
-    rows = postings(spark, folder).withColumn("title", F.substring("title", 1, 6))
-    return pdf_manifest(rows, RUN_ID, DAY).select(
+    """Copies of a document in one source share their title and so their path."""
+    return pdf_manifest(postings(spark, folder), RUN_ID, DAY).select(
         "org_abbrev", F.col("index").alias("job_index"), "path", "same_path"
     )

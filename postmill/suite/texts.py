@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from postmill import constants as C
 from postmill.functions import predicates as P, text as T, urls as U
 from postmill.functions.scoring import fragment_score
-from postmill.operators.rules import flag_equal, flag_inside
+from postmill.operators.rules import flag_equal, flag_hosts, flag_inside
 from postmill.operators.rollup import has_pdf
 from postmill.sources.rules import rules_frame
 from postmill.suite.base import (
@@ -267,7 +267,7 @@ _HOST = r"lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1))"
 @query(
     "rule_flags",
     f"""SELECT page_id, {_HOST} NOT IN ('m.ththth.example.net', 'thther.example.org') AS verify_tls,
-               {sql_any(_HOST, ('casino', 'blog.', 'example.org'))} AS in_domain FROM pages""",
+               {sql_any(_HOST, ('casino', 'blog.', 'example.org'))} AS in_domain, contains({_HOST}, '') AS in_blank FROM pages""",
 )
 def rule_flags(spark, folder):
     rules = rules_frame(
@@ -275,13 +275,14 @@ def rule_flags(spark, folder):
         {
             "tls_exempt_domains": ["m.ththth.example.net", "thther.example.org"],
             "detail_api_domains": ["casino", "blog.", "example.org"],
+            "vacancy_list_domains": ["", "casino"],
         },
     )
     host = U.url_host(F.col("url"))
     pages = table(spark, folder, "pages").select("page_id", "url")
     pages = flag_equal(pages, host, rules, "tls_exempt_domains", "exempt")
-    pages = flag_inside(pages, host, rules, "detail_api_domains", "in_domain")
-    return pages.select("page_id", (~F.col("exempt")).alias("verify_tls"), "in_domain")
+    pages = flag_hosts(pages, host, rules, {"detail_api_domains": "in_domain", "vacancy_list_domains": "in_blank"})
+    return pages.select("page_id", (~F.col("exempt")).alias("verify_tls"), "in_domain", "in_blank")
 
 
 @query(
@@ -292,13 +293,13 @@ def rule_flags(spark, folder):
        FROM documents""",
 )
 def long_rule_flags(spark, folder):
-    """Rules that come from tables and are too many to inline are joined."""
+    """Rules that come from tables."""
     brands = table(spark, folder, "part").select(F.concat(F.lower("p_brand"), F.lit(".example")).alias("value"))
-    docs = table(spark, folder, "documents")
+    docs = table(spark, folder, "documents").select("doc_id", "source")
     sources = docs.select(F.concat(F.substring(F.lower("source"), 4, 99), F.lit(".example")).alias("value"))
     rules = brands.unionByName(sources).select(F.lit("detail_api_domains").alias("rule"), "value")
     host = F.concat(F.lower("source"), F.lit(".example.org"))
-    flagged = flag_inside(docs, host, rules, "detail_api_domains", "in_domain", limit=0)
+    flagged = flag_inside(docs, host, rules, "detail_api_domains", "in_domain")
     return flagged.select("doc_id", "in_domain")
 
 
@@ -310,7 +311,7 @@ def org_rule_flags(spark, folder):
     rules = rules_frame(spark, {"prefer_pdf_orgs": ["SRC1", "SRC4"], "browser_orgs": ["src2", "SRC5"]})
     docs = table(spark, folder, "documents").select("doc_id", "source")
     docs = flag_equal(docs, F.upper("source"), rules, "prefer_pdf_orgs", "prefers_pdf")
-    docs = flag_equal(docs, F.col("source"), rules, "browser_orgs", "is_browser_org", limit=0)
+    docs = flag_equal(docs, F.col("source"), rules, "browser_orgs", "is_browser_org")
     return docs.select("doc_id", "prefers_pdf", "is_browser_org")
 
 

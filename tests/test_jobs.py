@@ -113,14 +113,19 @@ def test_dedupe_keeps_the_first_usable_row(rows):
         assert {tuple(r) for r in found} == {("o", 2, "u", "second", "b"), ("p", 1, "u", "other", "e")}
 
 
-def test_rules_give_the_same_flags_inlined_and_joined(rows, spark):
-    rules = rules_frame(spark, {"browser_domains": ["example.org", "b"], "browser_orgs": ["X"]})
+def test_rule_flags(rows, spark):
+    many = [f"n{i}" for i in range(600)]
+    given = {"browser_domains": ["example.org", "b", *many], "browser_orgs": ["X"], "table_domains": [""]}
+    rules = rules_frame(spark, given)
     frame = rows("id int, host string", (1, "jobs.example.org"), (2, "abc"), (3, "x"), (4, ""), (5, None))
-    for limit in (0, 100):
-        inside = flag_inside(frame, F.col("host"), rules, "browser_domains", "hit", limit)
-        assert {r.id for r in inside.filter("hit").collect()} == {1, 2} and inside.count() == 5
-        equal = flag_equal(frame, F.upper("host"), rules, "browser_orgs", "hit", limit)
-        assert {r.id for r in equal.filter("hit").collect()} == {3} and equal.count() == 5
+    inside = flag_inside(frame, F.col("host"), rules, "browser_domains", "hit")
+    assert {r.id for r in inside.filter("hit").collect()} == {1, 2} and inside.count() == 5
+    equal = flag_equal(frame, F.upper("host"), rules, "browser_orgs", "hit")
+    assert {r.id for r in equal.filter("hit").collect()} == {3} and equal.count() == 5
+    blank = flag_inside(frame, F.col("host"), rules, "table_domains", "hit")
+    assert {r.id for r in blank.filter("hit").collect()} == {1, 2, 3, 4} and blank.count() == 5
+    none = flag_inside(frame, F.col("host"), rules, "app_json_domains", "hit")
+    assert none.filter("hit").count() == 0 and none.count() == 5
     with pytest.raises(ValueError):
         rules_frame(spark, {"other": ["x"]})
 
