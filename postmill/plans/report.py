@@ -21,12 +21,6 @@ HEADER = (
     "| Org | Scraper Status | Enrich Status | Desc Len | Error |",
     "| --- | --- | --- | ---: | --- |",
 )
-FOOTER = (
-    "",
-    "## Review Gate",
-    "1. Review this report and sample output quality.",
-    "2. Commit changes only after approval.",
-)
 
 
 def run_report(orgs: DataFrame, postings: DataFrame) -> DataFrame:

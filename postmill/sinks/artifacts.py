@@ -10,7 +10,7 @@ from postmill import constants as C
 from postmill.functions.text import null_if_blank
 from postmill.operators.rollup import org_blocks
 from postmill.plans.quality import rendered
-from postmill.plans.report import FOOTER, HEADER, table_lines
+from postmill.plans.report import HEADER, table_lines
 from postmill.plans.resolution import pdf_path
 from postmill.schemas import EVENT
 from postmill.session import settle
@@ -98,7 +98,7 @@ def write_report(
         return spark.createDataFrame(rows, "part int, at int, org string, line string")
 
     body = table_lines(report).select(F.lit(1).alias("part"), F.lit(0).alias("at"), "org", "line")
-    parts = literal(HEADER, 0).unionByName(body).unionByName(literal(FOOTER, 2))
+    parts = literal(HEADER, 0).unionByName(body)
     ordered = parts.orderBy("part", "at", "org").select("line")
     ordered.write.mode("overwrite").text(f"{path}/report.md")
     return path
