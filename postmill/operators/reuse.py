@@ -19,6 +19,11 @@ def reusable(prior: DataFrame, order: str = "index") -> DataFrame:
     return last_row(_finished(prior), ["org_abbrev", "url"], [order])
 
 
+def finished_addresses(prior: DataFrame) -> DataFrame:
+    """Distinct addresses per organisation that have a finished earlier row."""
+    return _finished(prior).select("org_abbrev", "url").distinct()
+
+
 def with_prior(listings: DataFrame, prior: DataFrame, force: bool = False, how: str = "left") -> DataFrame:
     """Add the reusable earlier row as struct `prior`; null, or no row with an inner join, without one."""
     listings = listings.withColumn("url", strip(blank_if_null(F.col("url"))))
@@ -34,6 +39,6 @@ def work_list(listings: DataFrame, prior: DataFrame, force: bool = False) -> Dat
     listings = listings.withColumn("url", strip(blank_if_null(F.col("url"))))
     if force:
         return listings
-    build = settle(_finished(prior).select("org_abbrev", F.col("url").alias("_key")).distinct(), "known")
+    build = settle(finished_addresses(prior).withColumnRenamed("url", "_key"), "known")
     keyed = listings.withColumn("_key", spread_blank(F.col("url"), "org_abbrev", "job_index"))
     return keyed.join(build, ["org_abbrev", "_key"], "left_anti").drop("_key")

@@ -6,7 +6,7 @@ from postmill import constants as C
 from postmill.functions.text import blank_if_null, strip
 from postmill.operators.breaker import chunk_summaries, fold_summaries
 from postmill.operators.positions import chunk_of
-from postmill.operators.reuse import reusable
+from postmill.operators.reuse import finished_addresses
 from postmill.schemas import EVENT
 
 
@@ -54,8 +54,7 @@ def new_listings(listings: DataFrame, prior: DataFrame, event_time: str, delay:
     The watermark bounds the remembered addresses. Listings without an address all pass.
     """
     named = listings.withWatermark(event_time, delay).withColumn("url", strip(blank_if_null(F.col("url"))))
-    done = reusable(prior).select("org_abbrev", "url")
-    fresh = named.join(done, ["org_abbrev", "url"], "left_anti")
+    fresh = named.join(finished_addresses(prior), ["org_abbrev", "url"], "left_anti")
     fresh = fresh.withColumn("_blank", F.when(F.col("url") == "", F.col("job_index")))
     return fresh.dropDuplicatesWithinWatermark(["org_abbrev", "url", "_blank"]).drop("_blank")
 

@@ -199,3 +199,15 @@ def test_page_facts_cascade(rows, spark):
     assert facts[3].needs_browser and facts[3].description.startswith("Please wait")
     assert facts[4].description == WORDS.strip()
     assert facts[5].description == "From the API"
+
+
+def test_no_exchange_carries_html(rows, spark, capsys):
+    pages = rows("page_id bigint, url string, html string", (1, "https://a.example/x", "<p>text</p>"))
+    rules = rules_frame(spark, {"browser_domains": ["a.", ""], "app_json_domains": ["b."]})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        page_facts(pages, rules).explain("formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [part for part in capsys.readouterr().out.split("\n\n") if ") Exchange" in part and "Input" in part]
+    assert exchanges and not any("html#" in part or "outline#" in part for part in exchanges)
