@@ -27,7 +27,8 @@ class Encoder:
     """Token ids of whole texts.
 
     The tokenizer drops white space and splits at it first, so a text's ids are those of its words one after
-    the other. Each distinct word is encoded once while the cache has room.
+    the other; a special token written out in a text has no white space inside and keeps its own id. Each
+    distinct word is encoded once while the cache has room.
     """
 
     def __init__(self, path: str):
@@ -37,7 +38,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids[0]
         self.known = np.zeros(0, dtype=np.uint64)  # hashes, sorted
         self.at = np.zeros(0, dtype=np.int64)
