@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -22,32 +22,58 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def _fingerprints(data: np.ndarray, bounds: np.ndarray, shingle: int, seed: int, step: int = 1 << 16) -> np.ndarray:
-    """64-bit SimHash of each text."""
+def _majority(hashes: Callable[[int, int], np.ndarray], owner: np.ndarray, shingles: np.ndarray, step: int = 1 << 16) -> np.ndarray:
+    """Each text's bits that are set in over half of its hashes; `hashes(a, z)` gives those of shingles a to z."""
+    ones = np.zeros((len(shingles), 64), dtype=np.int64)
+    for a in range(0, len(owner), step):
+        bits = np.unpackbits(hashes(a, a + step).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        own = owner[a : a + step]
+        head = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        ones[own[head]] += np.add.reduceat(bits, head, axis=0, dtype=np.int64)
+    major = (2 * ones > shingles[:, None]).astype(np.uint8)
+    return np.packbits(major, axis=1, bitorder="little").view("<u8").ravel()
+
+
+def _shingles(first: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of shingles of each text, and the first word and the end of every shingle."""
+    counts = np.diff(first)
+    number = np.where(counts > 0, np.maximum(counts - shingle + 1, 1), 0)
+    begin = flat.ragged(first[:-1], number)
+    return number, begin, np.minimum(begin + shingle, np.repeat(first[1:], number))
+
+
+def _fingerprints(data: np.ndarray, bounds: np.ndarray, shingle: int, seed: int) -> np.ndarray:
+    """64-bit SimHash of each text, from the XXH64 of its shingles."""
     data = _LOWER[data]
     starts, ends, _, first = flat.words(data, bounds, hashed=False)
-    counts = np.diff(first)
     # the words of all texts with one space after each
     room = ends - starts + 1
     to = np.cumsum(room)
     spaced = np.full(int(to[-1]) if len(to) else 0, 32, dtype=np.uint8)
     spaced[flat.ragged(to - room, room - 1)] = data[flat.ragged(starts, room - 1)]
     body = spaced.tobytes()
-    shingles = np.where(counts > 0, np.maximum(counts - shingle + 1, 1), 0)
-    begin = flat.ragged(first[:-1], shingles)
-    end = np.minimum(begin + shingle, np.repeat(first[1:], shingles)) - 1
-    frm, til = (to - room)[begin], to[end] - 1
-    owner = np.repeat(np.arange(len(counts)), shingles)
-    ones = np.zeros((len(counts), 64), dtype=np.int64)
+    number, begin, end = _shingles(first, shingle)
+    frm, til = (to - room)[begin], to[end - 1] - 1
     digest = xxhash.xxh64_intdigest
-    for a in range(0, len(owner), step):
-        hashes = np.array([digest(body[s:e], seed) for s, e in zip(frm[a : a + step].tolist(), til[a : a + step].tolist(), strict=True)], dtype="<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        own = owner[a : a + step]
-        head = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        ones[own[head]] += np.add.reduceat(bits, head, axis=0, dtype=np.int64)
-    major = (2 * ones > shingles[:, None]).astype(np.uint8)
-    return np.packbits(major, axis=1, bitorder="little").view("<u8").ravel()
+
+    def hashes(a: int, z: int) -> np.ndarray:
+        return np.array([digest(body[s:e], seed) for s, e in zip(frm[a:z].tolist(), til[a:z].tolist(), strict=True)], dtype="<u8")
+
+    return _majority(hashes, np.repeat(np.arange(len(number)), number), number)
+
+
+def _wide_fingerprints(data: np.ndarray, bounds: np.ndarray, coarse: int, shingle: int) -> np.ndarray:
+    """Three 64-bit SimHashes of each text: of `coarse` words, and twice of `shingle` words."""
+    _, _, words, first = flat.words(_LOWER[data], bounds)
+    prefix, out = flat.prefix_hash(words), []
+    for size, seed in ((coarse, 1), (shingle, 2), (shingle, 3)):
+        number, begin, end = _shingles(first, size)
+
+        def hashes(a: int, z: int, begin=begin, end=end, seed=seed) -> np.ndarray:
+            return flat.mix(flat.range_hash(prefix, begin[a:z], end[a:z]) ^ flat.mix(np.full(1, seed, dtype=np.uint64)))
+
+        out.append(_majority(hashes, np.repeat(np.arange(len(number)), number), number))
+    return np.stack(out, axis=1)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
@@ -78,29 +104,43 @@ def blocks(radius: int) -> list[int]:
     return [a | b for a, b in combinations(parts, 2)]
 
 
-def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (fingerprints) of two sets, or of one with itself, within the radius.
+def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int, beyond: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a spanning forest over the pairs of two sets, or of one with itself, within the radius.
 
-    Sets are sorted by population count and cut into tiles; a pair of tiles is skipped when their population
-    counts lie more than the radius apart.
+    A row holds a fingerprint, further fingerprints if any, and last its node (alone, it is its own node). The
+    further ones may differ in `beyond` bits together. Sets are sorted by population count and cut into tiles; a
+    pair of tiles is skipped when their population counts lie more than the radius apart. What earlier tiles have
+    connected is not looked at again, so what is held is at most the pairs of two tiles.
     """
-    order = lambda x: x[np.argsort(np.bitwise_count(x), kind="stable")]
-    left = order(left)
-    other = left if right is None else order(right)
-    tiles = [(k, x, np.bitwise_count(x[[0, -1]]).astype(int)) for k, x in ((k, other[k : k + TILE]) for k in range(0, len(other), TILE))]
+    order = lambda x: x[np.argsort(np.bitwise_count(x[:, 0]), kind="stable")]
+    rows = order(left) if right is None else np.concatenate([order(left), order(right)])
+    split = 0 if right is None else len(left)
+    prints, nodes = rows[:, 0], rows[:, -1]
+    size = np.bitwise_count(prints).astype(int)
+    group = np.arange(len(rows))  # a row that each row is connected with
     a, b = [], []
     for i in range(0, len(left), TILE):
-        own = left[i : i + TILE]
-        low, high = np.bitwise_count(own[[0, -1]]).astype(int)
-        for k, x, (least, most) in tiles:
-            if (right is None and k < i) or least > high + radius or most < low - radius:
+        own = slice(i, min(i + TILE, len(left)))
+        for k in range(i if right is None else split, len(rows), TILE):
+            other = slice(k, min(k + TILE, len(rows)))
+            if size[other.start] > size[own.stop - 1] + radius or size[other.stop - 1] < size[own.start] - radius:
                 continue
-            near = np.bitwise_count(own[:, None] ^ x[None, :]) <= radius
-            if right is None and k == i:
+            near = np.bitwise_count(prints[own, None] ^ prints[None, other]) <= radius
+            if i == k:
                 near = np.triu(near, 1)
-            r, c = np.nonzero(near)
-            a.append(own[r])
-            b.append(x[c])
+            if not near.any():
+                continue
+            r, c = np.nonzero(near & (group[own, None] != group[None, other]))
+            r, c = r + i, c + k
+            if rows.shape[1] > 2:
+                close = np.bitwise_count(rows[r, 1:-1] ^ rows[c, 1:-1]).sum(axis=1, dtype=np.int64) <= beyond
+                r, c = r[close], c[close]
+            root, joined = forest(group[r], group[c])
+            to = np.arange(len(rows))
+            to[joined] = root
+            group = to[group]
+            a.append(nodes[root])
+            b.append(nodes[joined])
     none = np.zeros(0, dtype=np.uint64)
     return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
 
@@ -108,8 +148,9 @@ def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple
 _EDGES = "a long, b long, block int, key long, tile int, body binary"
 
 
-def _compare(radius: int):
+def _compare(radius: int, beyond: int):
     """Links within each bucket of a sorted stream; a bucket over `BUCKET` is passed on in parts."""
+    masks = np.array(blocks(radius), dtype=np.uint64)
 
     def edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         a, b = forest(a, b)
@@ -125,7 +166,7 @@ def _compare(radius: int):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # (block, key, fingerprints so far, parts passed on)
+        held = None  # (block, key, rows so far, parts passed on)
         found: list[tuple[np.ndarray, np.ndarray]] = []
 
         def close():
@@ -134,22 +175,23 @@ def _compare(radius: int):
             if passed:
                 yield part(block, key, passed, own)
             elif len(own) > 1:
-                a, b = tile_links(own, None, radius)
+                a, b = tile_links(own, None, radius, beyond)
                 if len(a):
-                    found.append(forest(a.view(np.int64), b.view(np.int64)))
+                    found.append((a.view(np.int64), b.view(np.int64)))
 
         for batch in batches:
-            block, key = batch.column("block").to_numpy(), batch.column("key").to_numpy()
-            prints = batch.column("fingerprint").to_numpy().view(np.uint64)
+            block = batch.column("block").to_numpy()
+            rows = np.stack([batch.column(k).to_numpy().view(np.uint64) for k in range(1, batch.num_columns)], axis=1)
+            key = (rows[:, 0] & masks[block]).view(np.int64)
             head = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (key[1:] != key[:-1]))) if len(block) else []
             for i, s in enumerate(head):
                 e = head[i + 1] if i + 1 < len(head) else len(block)
                 if held and (held[0], held[1]) == (block[s], key[s]):
-                    held[2].append(prints[s:e])
+                    held[2].append(rows[s:e])
                 else:
                     if held:
                         yield from close()
-                    held = [block[s], key[s], [prints[s:e]], 0]
+                    held = [block[s], key[s], [rows[s:e]], 0]
                 while sum(map(len, held[2])) > BUCKET:
                     own = np.concatenate(held[2])
                     yield part(held[0], held[1], held[3], own[:BUCKET])
@@ -165,37 +207,37 @@ def _compare(radius: int):
     return run
 
 
-def _compare_parts(radius: int):
-    """Links between two parts of one large bucket."""
+def _compare_parts(radius: int, beyond: int, width: int):
+    """Links between two parts of one large bucket, of `width` values a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                left = np.frombuffer(row["body"], dtype=np.uint64)
-                right = None if row["tile"] == row["other_tile"] else np.frombuffer(row["other_body"], dtype=np.uint64)
-                a, b = tile_links(left, right, radius)
-                a, b = forest(a.view(np.int64), b.view(np.int64))
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
+                left, other = (np.frombuffer(row[x], dtype=np.uint64).reshape(-1, width) for x in ("body", "other_body"))
+                a, b = tile_links(left, None if row["tile"] == row["other_tile"] else other, radius, beyond)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
     return run
 
 
-def links(distinct: DataFrame, radius: int) -> DataFrame:
+def links(distinct: DataFrame, radius: int, beyond: int = 0) -> DataFrame:
     """Links `a`, `b` that connect all distinct fingerprints within the radius of each other.
 
-    Every pair within the radius shares a bucket (`blocks`), where it is compared exactly. A bucket returns
-    the links of a spanning forest, which connects what its pairs connect.
+    `distinct` has the `fingerprint` alone, which is then its own node, or further fingerprints after it and last
+    the node; see `tile_links`. Every pair within the radius shares a bucket (`blocks`), where it is compared
+    exactly. A bucket returns the links of a spanning forest, which connects what its pairs connect.
     """
     spark = distinct.sparkSession
     masks = F.array(*(F.lit(m - (1 << 64) if m >= 1 << 63 else m).cast("long") for m in blocks(radius)))
-    rows = distinct.select("fingerprint", F.posexplode(masks).alias("block", "mask"))
-    rows = rows.select("fingerprint", "block", F.col("fingerprint").bitwiseAND(F.col("mask")).alias("key"))
-    rows = rows.repartition(shards(spark), "block", "key").sortWithinPartitions("block", "key")
-    found = settle(rows.mapInArrow(_compare(radius), _EDGES), "tile-links")
+    rows = distinct.select(F.posexplode(masks).alias("block", "mask"), *distinct.columns).drop("mask")
+    key = F.col("fingerprint").bitwiseAND(F.get(masks, F.col("block")))
+    rows = rows.repartition(shards(spark), "block", key).sortWithinPartitions("block", key)
+    found = settle(rows.mapInArrow(_compare(radius, beyond), _EDGES), "tile-links")
     parts = found.where("a is null").select("block", "key", "tile", "body")
     other = parts.select("block", "key", F.col("tile").alias("other_tile"), F.col("body").alias("other_body"))
     pairs = parts.join(other, ["block", "key"]).where("tile <= other_tile")
-    return found.where("a is not null").select("a", "b").unionByName(pairs.mapInArrow(_compare_parts(radius), "a long, b long"))
+    within = pairs.mapInArrow(_compare_parts(radius, beyond, len(distinct.columns)), "a long, b long")
+    return found.where("a is not null").select("a", "b").unionByName(within)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42, radius: int = 4) -> DataFrame:
@@ -215,3 +257,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = settle(named.groupBy("component").agg(F.min("least").alias("component_id")), "least-ids")
     named = settle(named.select("fingerprint", "component").join(least, "component").select("fingerprint", "component_id"), "named-fingerprints")
     return prints.join(named, "fingerprint").select(id_col, "fingerprint", "component_id")
+
+
+def near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", coarse: int = 2, shingle: int = 5, radius: int = 8, beyond: int = 24
+) -> DataFrame:
+    """`id_col` and `component_id` of every document with an id, linked at a similarity of about 0.8 or more.
+
+    Texts whose `shingle`-word shingles have a Jaccard similarity of 0.8 differ in 19 bits of 128 on average, four
+    more or less: two fingerprints of 64 bits may differ in `beyond` bits together. Candidates are compared where a
+    third one, of `coarse` words and so less touched by a changed word, differs in `radius` bits at most.
+    `component_id` is the smallest id that links reach. Words are those of `fingerprints`; texts without words (or
+    null) link with each other. Rows with a null id are left out; an empty table gives an empty table.
+    """
+    names = ["fingerprint", "wide", "other_wide"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_wide_fingerprints(data, bounds, coarse, shingle) for _, _, data, bounds in flat.groups(batch)]
+            values = np.concatenate(found).view(np.int64) if found else np.zeros((0, 3), dtype=np.int64)
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id")} | {n: pa.array(values[:, k]) for k, n in enumerate(names)})
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
+    prints = settle(rows.mapInArrow(run, "id long, fingerprint long, wide long, other_wide long"), "wide-fingerprints")
+    distinct = settle(prints.groupBy(*names).agg(F.min("id").alias("node")), "distinct-wide-fingerprints")
+    joined = settle(components(links(distinct, radius, beyond)), "wide-components")
+    named = settle(distinct.join(joined, "node", "left").select(*names, F.coalesce("component", "node").alias("component_id")), "named-wide-fingerprints")
+    return prints.join(named, names).select(F.col("id").alias(id_col), "component_id")

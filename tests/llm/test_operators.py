@@ -19,7 +19,8 @@ from postmill.llm.mixing import mix
 from postmill.llm.neighbours import hilbert_keys, search
 from postmill.llm.quality_rules import apply_rules
 from postmill.llm.queries import URL_RULES
-from postmill.llm.simhash import near_duplicates
+from postmill.llm import simhash as simhash_operator
+from postmill.llm.simhash import near_copies, near_duplicates
 from postmill.llm.substring_dedup import remove_repeats
 from postmill.llm.suffix_dedup import remove_repeated_bytes
 from postmill.llm.toxicity import grade
@@ -162,6 +163,61 @@ def test_simhash(docs, empty, spark):
     assert near_duplicates(empty).count() == 0
 
 
+def changed(text, share, seed):
+    """The text with a share of its words replaced."""
+    pick = np.random.default_rng(seed)
+    return " ".join(f"v{pick.integers(10**6)}" if pick.random() < share else w for w in text.split())
+
+
+def test_near_copies(empty, spark):
+    """Texts at a similarity over 0.8 are found, unrelated ones and those under 0.5 are not."""
+    bases = [sentence(300, 3000) for _ in range(40)]
+    rows = [(k, t) for k, t in enumerate(bases)]
+    rows += [(100 + k, changed(t, 0.01, k)) for k, t in enumerate(bases)]  # similar at about 0.9
+    rows += [(200 + k, changed(t, 0.3, k)) for k, t in enumerate(bases)]  # similar at about 0.1
+    rows += [(300, bases[3].upper()), (301, None), (302, ""), (303, "one"), (303, "one"), (None, bases[1])]
+    found = near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows) - 1
+    near = {r.doc_id: r.component_id for r in found}
+    assert sum(near[100 + k] == k for k in range(40)) >= 38
+    assert all(near[i] == i for i in [*range(40), *range(200, 240), 303])
+    assert near[300] == 3 and near[301] == near[302] == 301
+    assert near_copies(empty).count() == 0
+
+
+@pytest.mark.parametrize("width", [1, 4])
+def test_tiles_connect_what_pairs_connect(monkeypatch, width):
+    monkeypatch.setattr(simhash_operator, "TILE", 16)
+    pick = np.random.default_rng(2)
+    base = pick.integers(0, 1 << 63, (30, width), dtype=np.uint64)
+    rows = base[pick.integers(0, 30, 200)]
+    for _ in range(3):
+        rows = rows ^ (np.uint64(1) << pick.integers(0, 64, rows.shape).astype(np.uint64))
+    if width > 1:
+        rows[:, -1] = np.arange(200)
+    else:
+        rows = np.unique(rows, axis=0)
+    near = np.bitwise_count(rows[:, 0][:, None] ^ rows[:, 0][None]) <= 4
+    if width > 1:
+        near &= np.bitwise_count(rows[:, None, 1:-1] ^ rows[None, :, 1:-1]).sum(2) <= 8
+    index = {int(n): k for k, n in enumerate(rows[:, -1])}
+
+    def sets(pairs):
+        root = list(range(len(rows)))
+        for i, j in pairs:
+            root = [root[i] if x == root[j] else x for x in root]
+        return {frozenset(np.flatnonzero(np.array(root) == x).tolist()) for x in root}
+
+    whole = simhash_operator.tile_links(rows, None, 4, 8)
+    half = len(rows) // 2
+    parts = [(rows[:half], None), (rows[half:], None), (rows[:half], rows[half:])]
+    parts = [simhash_operator.tile_links(x, y, 4, 8) for x, y in parts]
+    expected = sets([(i, j) for i, j in zip(*map(np.ndarray.tolist, np.nonzero(near)), strict=True) if i < j])
+    assert len(expected) < len(rows)
+    for found in ([whole], parts):
+        assert sets([(index[int(x)], index[int(y)]) for a, b in found for x, y in zip(a, b, strict=True)]) == expected
+
+
 def test_forest_connects():
     a, b = forest(np.array([5, 3, 9, 7]), np.array([3, 1, 7, 9]))
     assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(1, 3), (1, 5), (7, 9)]
@@ -190,6 +246,25 @@ def test_packing(docs, empty):
     assert packing.pack_documents(empty, path).count() == 0
 
 
+ODD = st.sampled_from(["~", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "\u0301", "\x0b", "\x1c", "\xa0", "\u2028", "'s", "Σ", " ", "\n", "~ ", "e", "1", "word", "ﬁ"])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.lists(ODD, max_size=12).map("".join), st.text(max_size=20)), min_size=1, max_size=4))
+def test_word_ids_are_text_ids(texts):
+    import public_tokenizers
+    from postmill.llm import flat
+
+    encoder = packing._encoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    bodies = [t.encode() for t in texts]
+    bounds = np.cumsum([0, *map(len, bodies)])
+    ids, first = encoder.encode(np.frombuffer(b"".join(bodies), dtype=np.uint8), bounds)
+    plain = type(encoder.tokenizer).from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for k, t in enumerate(texts):
+        assert ids[first[k] : first[k + 1]].tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.integers(1, 20), min_size=1, max_size=7))
 def test_lower_bound_holds(lengths):
