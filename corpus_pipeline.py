@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from postmill.llm.mixing import mix
 from postmill.llm.packing import pack_documents
 from postmill.llm.scratch import settle
-from postmill.llm.simhash import near_duplicates
+from postmill.llm.simhash import near_copies, near_duplicates
 from postmill.llm.substring_dedup import remove_repeats
 from postmill.llm.toxicity import grade
 
@@ -22,10 +22,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component of near copies.
 
-    A row repeated under one id stays once. Documents without an id stay, equal texts among them once.
+    Copies by the fingerprints of the query (4 words, 4 bits) go first, then those at a similarity of 0.8 of
+    five-word shingles among the rest. A row repeated under one id stays once. Documents without an id stay, equal texts among them once.
     """
     found = near_duplicates(docs.where("doc_id is not null"))
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
+    kept = settle(found.where("doc_id = component_id").select("doc_id").distinct(), "near-kept")
+    similar = near_copies(docs.join(kept, "doc_id"))
+    kept = similar.where("doc_id = component_id").select("doc_id").distinct()
     first = Window.partitionBy("doc_id").orderBy("_twin")
     named = docs.join(kept, "doc_id").withColumn("_twin", F.xxhash64("text"))
     named = named.withColumn("_n", F.row_number().over(first)).where("_n = 1")

@@ -185,6 +185,25 @@ def test_near_copies(empty, spark):
     assert near_copies(empty).count() == 0
 
 
+@pytest.mark.parametrize("cell", [1 << 17, 900])
+def test_pipeline_drops_similar_texts(monkeypatch, cell, spark):
+    """No two kept texts have a similarity of 0.8 or more; texts far below it stay. Few shingles a part: all pairs of parts meet."""
+    monkeypatch.setattr(simhash_operator, "CELL", cell)
+    bases = [sentence(300, 3000) for _ in range(12)]
+    rows = [(k, t) for k, t in enumerate(bases)]
+    rows += [(100 + 10 * k + i, changed(t, 0.015, 10 * k + i)) for k, t in enumerate(bases) for i in range(6)]
+    rows += [(300 + k, changed(t, 0.1, k)) for k, t in enumerate(bases)]  # similar at about 0.4
+    shingles = {}
+    for k, t in rows:
+        words = t.split()
+        shingles[k] = {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+    similar = {(a, b) for a, b in combinations(shingles, 2) if len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])}
+    assert len(similar) > 100
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert not any(a in kept and b in kept for a, b in similar)
+    assert kept >= {*range(12), *range(300, 312)}
+
+
 @pytest.mark.parametrize("width", [1, 4])
 def test_tiles_connect_what_pairs_connect(monkeypatch, width):
     monkeypatch.setattr(simhash_operator, "TILE", 16)
