@@ -96,6 +96,16 @@ def org_rows(registry: DataFrame, failures: DataFrame | None = None) -> DataFram
     return joined.withColumn("scraper_error", F.coalesce("scraper_error", F.lit("")))
 
 
+def failed_orgs(failures: DataFrame) -> DataFrame:
+    """Failures of search pages, `(source_id, page_no, reason)`, as `org_rows` and `drop_failed` take them.
+
+    `source_id` is the organisation; the first failing page of each is named.
+    """
+    first = failures.groupBy("source_id").agg(F.min(F.struct("page_no", "reason")).alias("_first"))
+    error = F.concat(F.lit("page "), F.col("_first.page_no").cast("string"), F.lit(": "), F.col("_first.reason"))
+    return first.select(F.col("source_id").alias("org_abbrev"), error.alias("scraper_error"))
+
+
 def drop_failed(listings: DataFrame, orgs: DataFrame) -> DataFrame:
     """Listings of organisations whose source did not fail."""
     failed = orgs.filter(F.col("scraper_error") != "").select("org_abbrev")

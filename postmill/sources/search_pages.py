@@ -1,6 +1,8 @@
 """Landed JSON search responses as listing rows.
 
-Input rows are `(source_id, page_no, body)`. A body that is not the expected JSON object gives no rows.
+Input rows are `(source_id, page_no, body)`. A body that is not the expected JSON object gives no rows. It ends a
+facet source like an empty page; in the other two styles it makes the source a failed one, which `table_failures`
+and `simple_failures` tell (`plans.collect.failed_orgs` turns these into failures of organisations).
 """
 
 from collections.abc import Collection, Mapping
@@ -36,6 +38,21 @@ def _before_stop(pages: DataFrame, stops: Column) -> DataFrame:
     return joined.filter(F.col("_end").isNull() | (F.col("page_no") <= F.col("_end"))).drop("_stop", "_end")
 
 
+def _failures(pages: DataFrame, schema: str) -> DataFrame:
+    """First unreadable page of each source as `source_id, page_no, reason`; a null body is unreadable."""
+    options = {"columnNameOfCorruptRecord": "_corrupt"}
+    parsed = F.from_json("body", f"{schema}, _corrupt string", options)
+    is_object = F.coalesce(F.col("body").rlike(r"^\s*\{"), F.lit(False))
+    reason = (
+        F.when(F.col("body").isNull(), "no body")
+        .when(~is_object, "not a JSON object")
+        .when(parsed.isNull() | parsed["_corrupt"].isNotNull(), "malformed JSON or unexpected types")
+    )
+    bad = pages.select("source_id", "page_no", reason.alias("reason")).filter(F.col("reason").isNotNull())
+    first = bad.groupBy("source_id").agg(F.min(F.struct("page_no", "reason")).alias("_first"))
+    return first.select("source_id", "_first.page_no", "_first.reason")
+
+
 def facet_listings(pages: DataFrame, base_url: Column, api_url: Column) -> DataFrame:
     """Facet-style pages (numbered from 1); a source ends at its last, first empty or unreadable page."""
     parsed = F.from_json("body", _FACET)
@@ -116,11 +133,22 @@ def table_listings(
     return rows.drop("_number")
 
 
+def table_failures(pages: DataFrame, deduplicate: bool = False) -> DataFrame:
+    """`source_id, page_no, reason` of each source that `table_listings` leaves at an unreadable page.
+
+    The rows of its earlier pages are a part of the source only.
+    """
+    return _failures(_table_pages(pages, deduplicate), _TABLE)
+
+
+def _simple_pages(pages: DataFrame, page_size: int) -> DataFrame:
+    size = F.coalesce(F.size(F.from_json("body", _SIMPLE)["results"]), F.lit(0))
+    return _before_stop(pages.withColumn("_size", size), F.col("_size") < page_size)
+
+
 def simple_listings(pages: DataFrame, site_url: Column, page_size: int = C.SEARCH_PAGE_SIZE) -> DataFrame:
     """Plain result pages; a source ends at its first short page."""
-    size = F.coalesce(F.size(F.from_json("body", _SIMPLE)["results"]), F.lit(0))
-    readable = _before_stop(pages.withColumn("_size", size), F.col("_size") < page_size)
-    items = _items(readable, _SIMPLE, "results")
+    items = _items(_simple_pages(pages, page_size), _SIMPLE, "results")
     return items.select(
         "source_id",
         "page_no",
@@ -130,3 +158,8 @@ def simple_listings(pages: DataFrame, site_url: Column, page_size: int = C.SEARC
         blank_if_null(F.col("item.location")).alias("location"),
         blank_if_null(F.col("item.department")).alias("department"),
     )
+
+
+def simple_failures(pages: DataFrame, page_size: int = C.SEARCH_PAGE_SIZE) -> DataFrame:
+    """`source_id, page_no, reason` of each source that `simple_listings` leaves at an unreadable page."""
+    return _failures(_simple_pages(pages, page_size), _SIMPLE)

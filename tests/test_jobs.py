@@ -14,7 +14,7 @@ from postmill.operators.reuse import with_prior, work_list
 from postmill.operators.rollup import org_report
 from postmill.operators.rules import flag_equal, flag_inside
 from postmill.plans.artifact_check import bad_fields
-from postmill.plans.collect import collect_outcomes, postings_of
+from postmill.plans.collect import collect_outcomes, drop_failed, failed_orgs, org_rows, postings_of
 from postmill.plans.enrich import enrich_outcomes, new_state
 from postmill.plans.quality import rendered, violations
 from postmill.plans.resolution import result
@@ -24,7 +24,7 @@ from postmill.sources.artifacts import read_org_blocks, read_state
 from postmill.sources.gates import load_gates, overrides_frame
 from postmill.sources.registry import find_orgs, merge_registries, registry_frame
 from postmill.sources.rules import rules_frame
-from postmill.sources.search_pages import facet_listings, simple_listings, table_listings
+from postmill.sources.search_pages import facet_listings, simple_failures, simple_listings, table_failures, table_listings
 from postmill.streaming.jobs import run_breaker
 
 NOW = dt.datetime(2026, 1, 2, 3, 4, 5)
@@ -402,6 +402,36 @@ def test_search_pages(rows):
     assert [(r.title, r.url, r.location) for r in found] == [("A", "https://example.com/jobs/5", "")]
 
 
+def test_unreadable_search_pages_fail_their_source(rows):
+    """An unreadable page on the way is a failure, an empty one or one behind the end is not."""
+
+    def listed(total, *numbers):
+        return json.dumps({"requisitionList": [{"contestNo": n, "column": []} for n in numbers], "pagingData": {"totalCount": total}})
+
+    schema = "source_id string, page_no bigint, body string"
+    pages = rows(
+        schema,
+        ("html", 1, listed(9, "1")), ("html", 2, "<html>"), ("html", 3, listed(9, "2")), ("html", 4, "<html>"),
+        ("cut", 1, listed(9, "1", "2")[:40]), ("null", 1, None), ("array", 1, "[1]"), ("blank", 1, ""), ("text", 1, '"x"'),
+        ("empty", 1, listed(9, "1")), ("empty", 2, listed(9)), ("empty", 3, "<html>"), ("none", 1, "{}"),
+        ("done", 1, listed(1, "1")), ("done", 2, "<html>"),
+    )
+    expected = {"html": 2, "cut": 1, "null": 1, "array": 1, "blank": 1, "text": 1}
+    for once in (True, False):
+        assert {r.source_id: r.page_no for r in table_failures(pages, once).collect() if r.reason} == expected
+    registry = rows("org_abbrev string, org_name string, scraper_file string, is_playwright boolean", *[(o, o, "a.py", False) for o in ("html", "empty")])
+    orgs = org_rows(registry, failed_orgs(table_failures(pages)))
+    assert {r.org_abbrev: r.scraper_error for r in orgs.collect()} == {"html": "page 2: not a JSON object", "empty": ""}
+    kept = table_listings(pages, F.lit("https://h"), F.lit("ext"), {}).withColumnRenamed("source_id", "org_abbrev")
+    assert {r.org_abbrev for r in drop_failed(kept, orgs).collect()} == {"empty", "done"}
+
+    def results(n):
+        return json.dumps({"results": [{"title": "A", "id": i} for i in range(n)]})
+
+    pages = rows(schema, ("html", 1, results(2)), ("html", 2, "<html>"), ("short", 1, results(1)), ("short", 2, "<html>"), ("empty", 1, results(0)))
+    assert [(r.source_id, r.page_no) for r in simple_failures(pages, 2).collect()] == [("html", 2)]
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_streamed_breaker_carries_its_state(spark, rows, tmp_path, seed):
     attempts = random_attempts(seed, 150)
