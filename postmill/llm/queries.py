@@ -158,3 +158,35 @@ def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
     vectors = table(spark, folder, "embeddings")
     return search(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@query
+def op12_exact_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 highest integer inner products of every vector whose id is divisible by 50."""
+    from .exact_search import search
+
+    vectors = table(spark, folder, "embeddings")
+    return search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+SQL["op12_exact_search"] = r"""
+WITH whole AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda v: floor(256 * v::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight whitened coordinates of every vector."""
+    from .whitening import whiten
+
+    found = whiten(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
