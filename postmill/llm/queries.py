@@ -190,3 +190,43 @@ def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
 
     found = whiten(table(spark, folder, "embeddings"))
     return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 best collocations of each language."""
+    from .collocations import collocations
+
+    return collocations(table(spark, folder, "documents"))
+
+
+SQL["op11_phrase_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), lines AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), sizes AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM lines GROUP BY lang
+), phrases AS (
+  SELECT lang, size, phrase, count(*) AS f FROM (
+    SELECT lang, k AS size, array_to_string(w[i : i + k - 1], ' ') AS phrase
+    FROM lines, generate_series(1, 5) AS ks(k), generate_series(1, len(w) - k + 1) AS places(i)
+  ) GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, n, k, l.f AS l, r.f AS r, ((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM phrases WHERE size > 1) c
+  JOIN phrases l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : k], ' ')
+  JOIN phrases r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1 : c.size], ' ')
+  JOIN sizes ON sizes.lang = c.lang
+), scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), kept AS (
+  SELECT * FROM scored s WHERE NOT EXISTS (
+    SELECT 1 FROM phrases p WHERE p.lang = s.lang AND p.phrase <> s.phrase AND 100 * p.f >= 100 * s.a
+      AND contains(' ' || p.phrase || ' ', ' ' || s.phrase || ' ')
+  )
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""
