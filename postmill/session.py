@@ -44,6 +44,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that `scratch_path` named. Spark has no writer for that, so the file system is asked."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     """Write a table to the shared folder and read it back, so that its rows no longer change."""
     path = scratch_path(df.sparkSession, name)
