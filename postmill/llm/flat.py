@@ -7,15 +7,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 # Bytes that part words; everything else belongs to a word.
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_BYTES = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+# Hashes of ranges are polynomials over a random base modulo a prime, 2**61 - 1. (Modulo 2**64, ranges with a
+# regular structure collide whatever the base.)
+PRIME = (1 << 61) - 1
+_P = np.uint64(PRIME)
+_BASE = 0x0F3A91C4D2B7E685 % PRIME
+_BYTES = np.random.default_rng(20).integers(1, PRIME, 256, dtype=np.uint64)
+# Powers of the base and of its inverse modulo the prime, and of an odd base modulo 2**64 for anchors.
+_powers = [np.ones(1, dtype=np.uint64) for _ in range(3)]
+_ODD = 0x9E3779B97F4A7C15
 
 GROUP_BYTES = 1 << 20
 
@@ -27,27 +33,84 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse, modulo 2**64."""
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _INVERSE)):
-            p = np.full(max(n, GROUP_BYTES * 2), base, dtype=np.uint64)
-            p[0] = 1
-            _powers[k] = np.cumprod(p, dtype=np.uint64)
-    return _powers[0][:n], _powers[1][:n]
+def _reduced(t: np.ndarray) -> np.ndarray:
+    t = (t & _P) + (t >> np.uint64(61))
+    return np.where(t >= _P, t - _P, t)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of values below it, from halves of 31 and 30 bits."""
+    low, half = np.uint64((1 << 31) - 1), np.uint64(31)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    middle = a1 * b0 + a0 * b1
+    shifted = (middle & np.uint64((1 << 30) - 1)) << half
+    return _reduced(np.uint64(2) * a1 * b1 + (middle >> np.uint64(30)) + shifted + a0 * b0)
+
+
+def _grown(base: int, n: int, modulus: int) -> np.ndarray:
+    out = np.ones(n, dtype=np.uint64)
+    if modulus != PRIME:
+        out[1:] = np.uint64(base)
+        return np.cumprod(out, dtype=np.uint64)
+    size = 1
+    while size < n:
+        step = np.uint64(pow(base, size, modulus))
+        out[size : 2 * size] = times(out[: min(size, n - size)], step)
+        size *= 2
+    return out
+
+
+def powers(n: int, which: int = 2) -> np.ndarray:
+    """Powers of the base (0), of its inverse (1), or of the anchors' base (2)."""
+    if len(_powers[which]) < n:
+        base, modulus = ((_BASE, PRIME), (pow(_BASE, -1, PRIME), PRIME), (_ODD, 1 << 64))[which]
+        _powers[which] = _grown(base, max(n, 2 * len(_powers[which])), modulus)
+    return _powers[which][:n]
 
 
 def prefix_hash(values: np.ndarray) -> np.ndarray:
     """Prefix sums from which `range_hash` takes the hash of any range."""
+    terms = times(_reduced(values), powers(len(values), 0))
+    half, low = np.uint64(32), np.uint64((1 << 32) - 1)
     out = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * powers(len(values))[0], out=out[1:], dtype=np.uint64)
+    high = _reduced(np.cumsum(terms >> half, dtype=np.uint64))
+    out[1:] = _reduced(times(high, np.uint64(1 << 32)) + _reduced(np.cumsum(terms & low, dtype=np.uint64)))
     return out
 
 
 def range_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of ranges of values; equal ranges have equal hashes."""
-    inverse = powers(len(prefix))[1]
-    return mix((prefix[ends] - prefix[starts]) * inverse[starts] + mix((ends - starts).astype(np.uint64)))
+    inverse = powers(len(prefix), 1)
+    own = times(_reduced(prefix[ends] + (_P - prefix[starts])), inverse[starts])
+    return mix(own + mix((ends - starts).astype(np.uint64)))
+
+
+def coded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.DictionaryArray:
+    """Slices of bytes as a dictionary and places in it."""
+    size = ends - starts
+    body = np.ascontiguousarray(data[ragged(starts, size)])
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(body)]).dictionary_encode()
+
+
+def slice_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Equal numbers for slices of equal bytes, and for no others."""
+    return coded(data, starts, ends).indices.to_numpy().astype(np.int64)
+
+
+def slice_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """XXH64 of slices of bytes; each distinct slice is hashed once."""
+    found = coded(data, starts, ends)
+    names = [xxhash.xxh64_intdigest(x) for x in found.dictionary.to_numpy(zero_copy_only=False)]
+    return np.array(names, dtype=np.uint64)[found.indices.to_numpy()] if names else np.zeros(0, dtype=np.uint64)
+
+
+def spaced(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slices of bytes with one space after each, and the length of each with its space."""
+    room = ends - starts + 1
+    out = np.full(int(room.sum()), 32, dtype=np.uint8)
+    out[ragged(np.cumsum(room) - room, room - 1)] = data[ragged(starts, room - 1)]
+    return out, room
 
 
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +156,7 @@ def words(data: np.ndarray, bounds: np.ndarray, hashed: bool = True) -> tuple[np
         last[cut - 1] |= inside[1:-1][cut - 1]
         s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
         if hashed:
-            hashes.append(range_hash(prefix_hash(_BYTES[part]), s, e))
+            hashes.append(slice_hash(part, s, e))
         starts.append(s + at)
         ends.append(e + at)
         at = to
@@ -111,13 +174,13 @@ def _grams(h: np.ndarray, gram: int) -> np.ndarray:
                 out, length = block, size
             else:
                 n = len(h) - length - size + 1
-                out = out[:n] + block[length : length + n] * powers(length + 1)[0][length]
+                out = out[:n] + block[length : length + n] * powers(length + 1)[length]
                 length += size
         size *= 2
         if size > gram:
             return mix(out)
         n = max(0, len(block) - size // 2)
-        block = block[:n] + block[size // 2 : size // 2 + n] * powers(size // 2 + 1)[0][size // 2]
+        block = block[:n] + block[size // 2 : size // 2 + n] * powers(size // 2 + 1)[size // 2]
 
 
 def _sliding(of: np.ufunc, h: np.ndarray, width: int) -> np.ndarray:

@@ -46,22 +46,31 @@ class Unit:
     gram: int
 
     def runs(self, data: np.ndarray, bounds: np.ndarray):
-        """Runs of windows, and a function for the content hash and the bytes of runs."""
+        """Runs of windows, a function for their bytes and one for a hash of their content.
+
+        The bytes of words have one space after each word, so that equal words have equal bytes.
+        """
         if self.words:
             starts, ends, units, bounds = flat.words(data, bounds)
         else:
             units = data
         text, first, n, anchor, twice = flat.window_runs(units, bounds, self.window, self.gram)
 
-        def slices(text, first, n):
+        def cut(text, first, n):
+            at = bounds[text] + first
+            length = n + self.window - 1
+            if not self.words:
+                return length, data[flat.ragged(at, length)]
+            own = flat.ragged(at, length)
+            body, room = flat.spaced(data, starts[own], ends[own])
+            return np.diff(np.concatenate([[0], np.cumsum(room)])[np.concatenate([[0], np.cumsum(length)])]), body
+
+        def content(text, first, n):
             at = bounds[text] + first
-            to = at + n + self.window - 1
-            if self.words:
-                return flat.range_hash(prefix, at, to), starts[at], ends[to - 1]
-            return flat.range_hash(prefix, at, to), at, to
+            prefix = flat.prefix_hash(units if self.words else flat._BYTES[units])
+            return flat.range_hash(prefix, at, at + n + self.window - 1)
 
-        prefix = flat.prefix_hash(units if self.words else flat._BYTES[units]) if len(n) else None
-        return text, first, n, anchor, twice, slices
+        return text, first, n, anchor, twice, cut, content
 
 
 @dataclass
@@ -154,7 +163,7 @@ def _anchors(unit: Unit, buckets: int):
         for batch in batches:
             docs, twins = batch.column("doc").to_numpy(), batch.column("twin").to_numpy()
             for a, _, data, bounds in flat.groups(batch):
-                text, first, _, anchor, twice, _ = unit.runs(data, bounds)
+                text, first, _, anchor, twice, _, _ = unit.runs(data, bounds)
                 parts.append((anchor, docs[a + text], twins[a + text], text, first, twice))
                 size += len(anchor)
                 if size >= BUFFER_ROWS:
@@ -256,8 +265,10 @@ def _ship(unit: Unit, heavy: np.ndarray, buckets: int):
             body=flat.binaries(p.body, at[begins]),
         )
 
-    def flush(parts, hashes):
-        p, content = Passages.joined(parts), np.concatenate(hashes)
+    def flush(parts):
+        p = Passages.joined(parts)
+        ends = np.cumsum(p.size, dtype=np.int64)
+        content = flat.slice_ids(p.body, ends - p.size, ends)
         order = np.lexsort((p.first, p.twin, p.doc, content))
         keys = Passages(p.doc[order], p.twin[order], p.first[order], *[p.n[:0]] * 4)
         order = order[~keys.again()]
@@ -271,12 +282,12 @@ def _ship(unit: Unit, heavy: np.ndarray, buckets: int):
         yield from rows(gone, (flat.mix(gone.doc.view(np.uint64)) >> np.uint64(33)).astype(np.int64) % buckets, True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, hashes, held = [], [], 0
+        parts, held = [], 0
         for batch in batches:
             batch = batch.filter(batch.column("listed").is_valid())
             docs, twins, lists = batch.column("doc").to_numpy(), batch.column("twin").to_numpy(), batch.column("listed")
             for a, b, data, bounds in flat.groups(batch):
-                text, first, n, anchor, _, slices = unit.runs(data, bounds)
+                text, first, n, anchor, _, cut, content = unit.runs(data, bounds)
                 wanted = [np.frombuffer(x.as_py(), dtype=np.int64)[::2] for x in lists.slice(a, b - a)]
                 key = np.concatenate([(k << 40) + w for k, w in enumerate(wanted)])
                 take = np.isin((text << 40) + first, key)
@@ -288,16 +299,16 @@ def _ship(unit: Unit, heavy: np.ndarray, buckets: int):
                 k = flat.ragged(np.zeros(len(n), dtype=np.int64), times)
                 text, first, n, anchor, single = (np.repeat(x, times) for x in (text, first, n, anchor, single))
                 first, n = first + k, np.where(single, 1, n)
-                content, begin, end = slices(text, first, n)
-                anchor = np.where(single, content, anchor)
-                parts.append(Passages(docs[a + text], twins[a + text], first, n.astype(np.int32), anchor, (end - begin).astype(np.int32), data[flat.ragged(begin, end - begin)]))
-                hashes.append(content)
-                held += int((end - begin).sum()) + 48 * len(n)
+                if single.any():
+                    anchor[single] = content(text[single], first[single], n[single])
+                size, body = cut(text, first, n)
+                parts.append(Passages(docs[a + text], twins[a + text], first, n.astype(np.int32), anchor, size.astype(np.int32), body))
+                held += len(body) + 48 * len(n)
                 if held >= BUFFER_BYTES:
-                    yield from flush(parts, hashes)
-                    parts, hashes, held = [], [], 0
+                    yield from flush(parts)
+                    parts, held = [], 0
         if parts:
-            yield from flush(parts, hashes)
+            yield from flush(parts)
 
     return run
 

@@ -29,8 +29,7 @@ def _word_sets(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(first))
     long = ends - starts > BEGINNING
     if long.any():
-        prefix = flat.prefix_hash(flat._BYTES[data])
-        beginnings = ~flat.range_hash(prefix, starts[long], starts[long] + BEGINNING)
+        beginnings = ~flat.slice_hash(data, starts[long], starts[long] + BEGINNING)
         hashes, owner = np.concatenate([hashes, beginnings]), np.concatenate([owner, owner[long]])
     order = np.lexsort((hashes, owner))
     hashes, owner = hashes[order], owner[order]
