@@ -1,10 +1,11 @@
 """Phrase collocations: frequent phrases counted in HAT-tries, scored by their weakest cut.
 
-Three counting passes over the texts: words; pairs of frequent words; phrases of three and more whose pairs are
-all frequent. A part of a phrase is at least as frequent as the phrase, so nothing is lost. What is frequent goes
-from pass to pass as a Bloom filter of fixed size: a false hit costs work, never a result.
+Three passes over the texts. The first counts words. The second adds up hashes of pairs of frequent words; a pair
+whose hash stays under the threshold is not frequent. The third counts phrases of two words and more whose pairs
+are all left. A part of a phrase is at least as frequent as the phrase, so nothing is lost, and the third pass counts
+exactly. What is left goes from pass to pass as a Bloom filter of fixed size: a false hit costs work, never a result.
 
-Within a pass each task counts in a HAT-trie of word ids and spills whole subtrees as sorted runs; a run goes to
+In the third pass each task counts in a HAT-trie of word ids and spills whole subtrees as sorted runs; a run goes to
 the partition of its prefix (language and up to three words), where runs are merged. No step holds more than a
 trie, a run or one partition's runs, and equal phrases of a task are one entry before the shuffle.
 """
@@ -12,6 +13,7 @@ trie, a run or one partition's runs, and equal phrases of a task are one entry b
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,12 @@ SLICE, MERGED = 1 << 22, 32 << 20
 PREFIX, NAMED = 3, 1 << 20
 # Bits of a Bloom filter, and bits set for an entry.
 FILTER_BITS, HITS = 1 << 26, 4
-_RUNS = "bucket int, size int, words array<binary>, places binary, counts binary"
+# Pairs that a task holds before it sends their sums, and bits of a pair's hash.
+PAIRS, PAIR_BITS = 1 << 20, 40
+# Parts into which a language's rows are dealt for a join on the language.
+SPREAD = 64
+_RUNS = "bucket int, size int, langs array<binary>, words binary, places binary, counts binary"
+_SUMS = "bucket int, keys binary, counts binary"
 
 
 def _slices(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -73,17 +80,26 @@ class Names:
         self.hashes = np.zeros(1 << 10, dtype=np.uint64)
 
     def of(self, names: list[bytes]) -> np.ndarray:
-        out = np.empty(len(names), dtype=np.int64)
-        for k, name in enumerate(names):
-            at = self.ids.get(name)
-            if at is None:
-                at = self.ids[name] = len(self.names)
-                self.names.append(name)
-                if at == len(self.hashes):
-                    self.hashes = np.append(self.hashes, np.zeros(at, dtype=np.uint64))
-                self.hashes[at] = xxhash.xxh64_intdigest(name)
-            out[k] = at
-        return out
+        ids, before = self.ids, len(self.ids)
+        place = ids.setdefault
+        out = [place(name, len(ids)) for name in names]
+        if len(ids) > before:
+            new = list(islice(ids, before, None))
+            self.names += new
+            if len(ids) > len(self.hashes):
+                self.hashes = np.append(self.hashes, np.zeros(max(len(self.hashes), len(ids)), dtype=np.uint64))
+            self.hashes[before : len(ids)] = [xxhash.xxh64_intdigest(n) for n in new]
+        return np.array(out, dtype=np.int64)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, all low bytes first: small numbers leave planes of zeros, which compress well."""
+    return np.ascontiguousarray(values.reshape(-1, 1).view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def _numbers(body: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(body, dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return planes.T.copy().view(kind).ravel()
 
 
 def _word_key(lang: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -107,25 +123,31 @@ def _known(filter_: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def frequent_filter(counts: DataFrame, size: int) -> np.ndarray:
-    """Bloom filter of the phrases of `size` (1 or 2) words; its size is fixed, so is what the driver gets."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs = np.array([xxhash.xxh64_intdigest(x.encode()) for x in batch.column("lang").to_pylist()], dtype=np.uint64)
-            words = [x.encode().split(b" ") for x in batch.column("phrase").to_pylist()]
-            keys = [_word_key(langs, np.array([xxhash.xxh64_intdigest(w[k]) for w in words], dtype=np.uint64)) for k in range(size)]
-            bits = np.concatenate(list(_bits(keys[0] if size == 1 else _pair_key(*keys))))
-            slots = pa.array((bits >> np.uint64(6)).astype(np.int32))
-            yield pa.RecordBatch.from_pydict({"slot": slots, "mask": pa.array((np.uint64(1) << (bits & np.uint64(63))).view(np.int64))})
-
-    rows = counts.where(F.col("size") == size).select("lang", "phrase").mapInArrow(run, "slot int, mask long")
-    found = rows.groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+def _filter(bits: DataFrame) -> np.ndarray:
+    """Bloom filter of rows `slot, mask`; its size is fixed, so is what the driver gets."""
+    found = bits.groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
     out = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
     out[found.column("slot").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
     return out
 
 
+def _rows_of(keys: np.ndarray) -> pa.RecordBatch:
+    bits = np.concatenate(list(_bits(keys)))
+    slots = pa.array((bits >> np.uint64(6)).astype(np.int32))
+    return pa.RecordBatch.from_pydict({"slot": slots, "mask": pa.array((np.uint64(1) << (bits & np.uint64(63))).view(np.int64))})
+
+
+def word_filter(counts: DataFrame) -> np.ndarray:
+    """Filter of the words of a table `lang, phrase`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, words = (np.array([xxhash.xxh64_intdigest(x.encode()) for x in batch.column(k).to_pylist()], dtype=np.uint64) for k in ("lang", "phrase"))
+            yield _rows_of(_word_key(langs, words))
+
+    return _filter(counts.select("lang", "phrase").mapInArrow(run, "slot int, mask long"))
+
+
 def _runs(rows: np.ndarray, counts: np.ndarray, words: Names, langs: Names, parts: int) -> Iterator[pa.RecordBatch]:
     """Sorted runs of one length by the partition of their prefix; words sort by their bytes."""
     size = rows.shape[1] - 1
@@ -150,77 +172,179 @@ def _runs(rows: np.ndarray, counts: np.ndarray, words: Names, langs: Names, part
         own = ranked[a:z]
         tongues, lang = np.unique(own[:, 0], return_inverse=True)
         spoken, word = np.unique(own[:, 1:], return_inverse=True)
-        places = np.column_stack([lang.reshape(len(own), 1), word.reshape(len(own), size) + len(tongues)]).astype(np.int32)
-        listed = [langs.names[tongue[k]] for k in tongues] + [sorted_names[k] for k in spoken]
+        places = np.column_stack([lang.reshape(len(own), 1), word.reshape(len(own), size)]).astype(np.int32)
+        places[1:, :2] -= places[:-1, :2].copy()  # rows are sorted, so steps of the first columns are small
         yield pa.RecordBatch.from_pydict(
             {
                 "bucket": pa.array([b], pa.int32()),
                 "size": pa.array([size], pa.int32()),
-                "words": pa.array([listed], pa.list_(pa.binary())),
-                "places": pa.array([places.tobytes()], pa.binary()),
-                "counts": pa.array([counts[a:z].tobytes()], pa.binary()),
+                "langs": pa.array([[langs.names[tongue[k]] for k in tongues]], pa.list_(pa.binary())),
+                "words": pa.array([b" ".join([sorted_names[k] for k in spoken])], pa.binary()),
+                "places": pa.array([_planes(places.T.ravel())], pa.binary()),
+                "counts": pa.array([_planes(counts[a:z].astype(np.int64))], pa.binary()),
             }
         )
 
 
-def _count(sizes: range, parts: int, filters: list, held: int):
-    """Runs of all phrases of the given sizes; size 0 counts the words of a language."""
+class Texts:
+    """Words of a task's texts: ids of words and languages, and which words follow each other."""
 
-    def phrases(wid: np.ndarray, lang: np.ndarray, joined: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        alive = np.flatnonzero(wid >= 0)
-        # rank of the phrase so far, in the order of its ids
-        pair = lang[alive] * (int(wid.max(initial=0)) + 1) + wid[alive]
-        for size in range(1, sizes[-1] + 1):
-            if size > 1:
-                go = joined[alive + size - 2]
-                alive, pair = alive[go], rank[go]
-                pair = pair * (int(wid.max(initial=0)) + 1) + wid[alive + size - 1]
-            if not len(alive):
-                return
-            _, index, rank, times = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
-            if size in sizes:
-                at = alive[index]
-                yield np.column_stack([lang[at], *(wid[at + k] for k in range(size))]), times
+    def __init__(self, known: list[np.ndarray]):
+        self.known, self.words, self.langs = known, Names(), Names()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = [f.value for f in filters]
-        trie, words, langs = HatTrie(), Names(), Names()
+    def slices(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Language and id of each word, whether the next one may follow it in a phrase, and the key of it with the next."""
         for batch in batches:
-            tongue = langs.of([x.encode() for x in batch.column("lang").to_pylist()])
+            tongue = self.langs.of([x.encode() for x in batch.column("lang").to_pylist()])
             for a, _, data, bounds in flat.groups(batch, size=SLICE):
                 for part, starts, ends, follows, at in _slices(data, bounds):
                     if not len(starts):
                         continue
                     own = tongue[a + np.searchsorted(bounds, starts + at, side="right") - 1]
-                    body = np.ascontiguousarray(part[flat.ragged(starts, ends - starts)])
-                    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
-                    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(body)]).dictionary_encode()
-                    wid = words.of(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-                    if 0 in sizes:
-                        total = np.bincount(own, minlength=len(langs.names))
-                        seen = np.flatnonzero(total)
-                        trie.add(seen[:, None], total[seen])
-                    joined = follows
-                    if known:
-                        keys = _word_key(langs.hashes[own], words.hashes[wid])
-                        good = _known(known[0], keys)
-                        joined = follows & good & np.append(good[1:], False)
-                        if len(known) > 1:
-                            near = np.flatnonzero(joined)
-                            joined = np.zeros(len(joined), dtype=bool)
-                            joined[near] = _known(known[1], _pair_key(keys[near], keys[near + 1]))
-                        # a word that begins no pair and ends none needs no place
-                        good = joined | np.append(False, joined[:-1])
-                        wid = np.where(good, wid, -1)
-                    for rows, times in phrases(wid, own, joined):
-                        trie.add(rows, times)
-                    full = len(words.names) > NAMED
-                    if full or trie.size > held:
-                        for rows, times in trie.spill(-1 if full else held // 2):
-                            yield from _runs(rows, times, words, langs, parts)
-                        words = Names() if full else words
+                    coded = flat.coded(part, starts, ends)
+                    names = coded.dictionary.to_numpy(zero_copy_only=False)
+                    place = coded.indices.to_numpy()
+                    if not self.known:
+                        yield own, self.words.of(names.tolist())[place], follows, follows
+                        continue
+                    # the keys of all words in all languages of the slice; only words that may be frequent get an id
+                    spoken, lang = np.unique(own, return_inverse=True)
+                    hashes = np.array([xxhash.xxh64_intdigest(n) for n in names], dtype=np.uint64)
+                    keys = _word_key(self.langs.hashes[spoken][:, None], hashes[None, :])
+                    good = _known(self.known[0], keys.ravel()).reshape(keys.shape)
+                    often = np.flatnonzero(good.any(axis=0))
+                    ids = np.full(len(names), -1, dtype=np.int64)
+                    ids[often] = self.words.of(names[often].tolist())
+                    good = good[lang, place]
+                    joined = follows & good & np.append(good[1:], False)
+                    near = np.flatnonzero(joined)
+                    first, second = keys[lang[near], place[near]], keys[lang[near], place[near + 1]]
+                    pair = _pair_key(first, second) >> np.uint64(64 - PAIR_BITS)
+                    yield own, ids[place], joined, pair
+
+
+def _words(parts: int):
+    """Runs of all words, and of the empty phrase, which counts the words of a language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, counts = Texts([]), {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            rows = [(lang, np.flatnonzero(own), own[own > 0]) for lang, own in counts.items()]
+            for lang, own, times in rows:
+                yield from _runs(np.column_stack([np.full(len(own), lang), own]), times, texts.words, texts.langs, parts)
+            total = np.array([[lang, times.sum()] for lang, _, times in rows]).reshape(-1, 2)
+            if len(total):
+                yield from _runs(total[:, :1], total[:, 1], texts.words, texts.langs, parts)
+
+        for lang, word, _, _ in texts.slices(batches):
+            for own in np.unique(lang):
+                more = np.bincount(word[lang == own], minlength=len(texts.words.names))
+                if own in counts:
+                    more[: len(counts[own])] += counts[own]
+                counts[own] = more
+            if len(texts.words.names) > NAMED:
+                yield from flush()
+                texts.words, counts = Names(), {}
+        yield from flush()
+
+    return run
+
+
+def _sums(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, dtype=np.int64)
+    return keys[head], np.add.reduceat(counts, head) if len(head) else counts
+
+
+def _pairs(parts: int, known: list):
+    """Hashes of pairs of frequent words with their sums, sorted, by partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, keys, counts, held = Texts([f.value for f in known]), [], [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            own, times = _sums(keys, counts)
+            bucket = (own % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            own, times, bucket = own[order], times[order], bucket[order]
+            names, begins = np.unique(bucket, return_index=True)
+            for b, a, z in zip(names, begins, [*begins[1:], len(bucket)], strict=True):
+                steps = np.diff(own[a:z], prepend=np.uint64(0))
+                yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "keys": pa.array([_planes(steps)]), "counts": pa.array([_planes(times[a:z])])})
+
+        for _, _, _, pair in texts.slices(batches):
+            own, times = np.unique(pair, return_counts=True)
+            keys.append(own)
+            counts.append(times)
+            held += len(own)
+            if held > 2 * PAIRS:
+                merged, sums = _sums(keys, counts)
+                keys, counts, held = [merged], [sums], len(merged)
+                if held > PAIRS:
+                    yield from flush()
+                    keys, counts, held = [], [], 0
+            if len(texts.words.names) > NAMED:
+                texts.words = Names()
+        if held:
+            yield from flush()
+
+    return run
+
+
+def _frequent_pairs(least: int):
+    """Filter rows of the pairs of a partition whose hashes add up to `least` or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = [], []
+        for batch in batches:
+            for body, times in zip(batch.column("keys"), batch.column("counts"), strict=True):
+                keys.append(np.cumsum(_numbers(body.as_py(), "u8"), dtype=np.uint64))
+                counts.append(_numbers(times.as_py(), "i8"))
+        if keys:
+            own, total = _sums(keys, counts)
+            yield _rows_of(own[total >= least])
+
+    return run
+
+
+def _phrases(longest: int, parts: int, known: list, held: int):
+    """Runs of all phrases of two words and more whose pairs may all be frequent."""
+
+    def grown(lang: np.ndarray, word: np.ndarray, joined: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        many = int(word.max(initial=0)) + 1
+        alive = np.flatnonzero(joined)
+        rank = lang[alive] * many + word[alive]  # of the phrase so far, in the order of its ids
+        for size in range(2, longest + 1):
+            if size > 2:
+                go = joined[alive + size - 2]
+                alive, rank = alive[go], rank[go]
+            if not len(alive):
+                return
+            if size == 2:
+                rank = np.unique(rank, return_inverse=True)[1].ravel()
+            _, index, rank, times = np.unique(rank * many + word[alive + size - 1], return_index=True, return_inverse=True, return_counts=True)
+            at = alive[index]
+            yield np.column_stack([lang[at], *(word[at + k] for k in range(size))]), times
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, trie = Texts([f.value for f in known[:1]]), HatTrie()
+        pairs = known[1].value
+        for lang, word, joined, pair in texts.slices(batches):
+            near = np.flatnonzero(joined)
+            joined = np.zeros(len(joined), dtype=bool)
+            joined[near] = _known(pairs, pair)
+            for rows, times in grown(lang, word, joined):
+                trie.add(rows, times)
+            full = len(texts.words.names) > NAMED
+            if full or trie.size > held:
+                for rows, times in trie.spill(-1 if full else held // 2):
+                    yield from _runs(rows, times, texts.words, texts.langs, parts)
+                texts.words = Names() if full else texts.words
         for rows, times in trie.spill(-1):
-            yield from _runs(rows, times, words, langs, parts)
+            yield from _runs(rows, times, texts.words, texts.langs, parts)
 
     return run
 
@@ -231,10 +355,13 @@ def _merge(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, runs = Names(), {}
         for batch in batches:
-            for size, words, places, counts in zip(*(batch.column(k) for k in ("size", "words", "places", "counts")), strict=True):
-                ids = names.of(words.as_py())
-                rows = ids[np.frombuffer(places.as_py(), dtype=np.int32)].reshape(-1, size.as_py() + 1).astype(np.int32)
-                runs.setdefault(size.as_py(), []).append((rows, np.frombuffer(counts.as_py(), dtype=np.int64)))
+            for size, langs, words, places, counts in zip(*(batch.column(k) for k in ("size", "langs", "words", "places", "counts")), strict=True):
+                size = size.as_py()
+                rows = _numbers(places.as_py(), "i4").reshape(size + 1, -1)
+                rows[:2] = np.cumsum(rows[:2], axis=1)
+                lang, word = names.of(langs.as_py()), names.of(words.as_py().split(b" "))
+                rows = np.column_stack([lang[rows[0]], *(word[own] for own in rows[1:])]).astype(np.int32)
+                runs.setdefault(size, []).append((rows, _numbers(counts.as_py(), "i8")))
         for size, parts in sorted(runs.items()):
             rows, total = counted(*(np.concatenate(x) for x in zip(*parts, strict=True)))
             runs[size] = None
@@ -264,19 +391,17 @@ def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, text_c
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     parts = shards(spark, texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0, MERGED)
 
-    def count(sizes: range, known: list[np.ndarray]) -> DataFrame:
-        shared = [spark.sparkContext.broadcast(f) for f in known]
-        runs = texts.mapInArrow(_count(sizes, parts, shared, held), _RUNS).repartitionById(parts, "bucket")
+    def merged(runs: DataFrame) -> DataFrame:
+        runs = runs.repartitionById(parts, "bucket")
         return settle(runs.mapInArrow(_merge(least), "size int, lang string, phrase string, f long"), "phrases")
 
-    found = count(range(0, 2), [])
-    known = [frequent_filter(found, 1)]
-    if longest > 1:
-        pairs = count(range(2, 3), known)
-        found = found.unionByName(pairs)
-        if longest > 2:
-            found = found.unionByName(count(range(3, longest + 1), [*known, frequent_filter(pairs, 2)]))
-    return found
+    words = merged(texts.mapInArrow(_words(parts), _RUNS))
+    if longest < 2:
+        return words
+    known = [spark.sparkContext.broadcast(word_filter(words.where("size = 1")))]
+    sums = texts.mapInArrow(_pairs(parts, known), _SUMS).repartitionById(parts, "bucket")
+    known.append(spark.sparkContext.broadcast(_filter(sums.mapInArrow(_frequent_pairs(least), "slot int, mask long"))))
+    return words.unionByName(merged(texts.mapInArrow(_phrases(longest, parts, known, held), _RUNS)))
 
 
 def collocations(
@@ -305,7 +430,10 @@ def collocations(
     cuts = chosen.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
     cuts = cuts.select("lang", "phrase", "a", "k", side("left", F.lit(1), F.col("k")), side("right", F.col("k") + 1, F.col("size") - F.col("k")))
     cuts = cuts.join(phrases.select("lang", F.col("phrase").alias("left"), F.col("f").alias("l")), ["lang", "left"])
-    cuts = cuts.join(phrases.select("lang", F.col("phrase").alias("right"), F.col("f").alias("r")), ["lang", "right"]).join(sizes, "lang")
+    cuts = cuts.join(phrases.select("lang", F.col("phrase").alias("right"), F.col("f").alias("r")), ["lang", "right"])
+    # a language may hold a third of all phrases, so its size meets them in parts
+    sizes = sizes.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    cuts = cuts.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(SPREAD)).cast("int")).join(sizes, ["lang", "part"])
     whole = lambda c: F.col(c).cast("decimal(17,0)")
     cuts = cuts.withColumn("above", F.lit(1000).cast("decimal(4,0)") * whole("a") * whole("n")).withColumn("below", whole("l") * whole("r"))
     scored = cuts.select("lang", "phrase", "a", "n", F.struct(F.expr("above div below").alias("score"), "k", "l", "r").alias("cut"))

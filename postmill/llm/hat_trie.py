@@ -64,26 +64,23 @@ class HatTrie:
         """Distinct rows of equal length with their counts, in order, so that a subtree's rows lie together."""
         if not len(rows):
             return
-        body = np.ascontiguousarray(rows, dtype=">u4")
-        step = 4 * rows.shape[1]
-        raw = body.tobytes()
         cut = min(ROOT, rows.shape[1])
         head = np.append(True, (rows[1:, :cut] != rows[:-1, :cut]).any(axis=1))
-        begins = np.flatnonzero(head).tolist()
-        times = counts.tolist()
-        for a, z in zip(begins, [*begins[1:], len(rows)], strict=True):
-            root = raw[a * step : a * step + 4 * cut]
+        begins = np.flatnonzero(head)
+        roots = _packed(rows[begins, :cut])
+        keys = _packed(rows[:, cut:]) if cut < rows.shape[1] else [b""] * len(rows)
+        begins, times = begins.tolist(), counts.tolist()
+        for root, a, z in zip(roots, begins, [*begins[1:], len(rows)], strict=True):
             box = self.roots.get(root)
-            keys = [raw[i * step + 4 * cut : (i + 1) * step] for i in range(a, z)]
             if box is None:
                 box = self.roots[root] = {}
                 self.sizes[root] = 0
             if isinstance(box, Node):
-                new = sum(map(box.add, keys, times[a:z]))
+                new = sum(map(box.add, keys[a:z], times[a:z]))
             else:
-                new = -len(box)
-                for key, count in zip(keys, times[a:z], strict=True):
-                    box[key] = box.get(key, 0) + count
+                new, get = -len(box), box.get
+                for k in range(a, z):
+                    box[keys[k]] = get(keys[k], 0) + times[k]
                 new += len(box)
                 if len(box) > BURST:
                     self.roots[root] = Node(box)
@@ -92,18 +89,28 @@ class HatTrie:
 
     def spill(self, down_to: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Take whole subtrees out, the largest first, until `down_to` entries are left: rows and counts by length."""
-        by_length: dict[int, tuple[list[bytes], list[int]]] = {}
+        keys, counts = [], []
         for root in sorted(self.sizes, key=self.sizes.get, reverse=True):
             if self.size <= down_to:
                 break
             self.size -= self.sizes.pop(root)
-            for key, count in self.roots.pop(root).items():
-                keys, counts = by_length.setdefault(len(root) + len(key), ([], []))
-                keys.append(root + key)
-                counts.append(count)
-        for length, (keys, counts) in by_length.items():
-            rows = np.frombuffer(b"".join(keys), dtype=">u4").reshape(-1, length // 4).astype(np.int64)
-            yield rows, np.array(counts, dtype=np.int64)
+            box = self.roots.pop(root)
+            if isinstance(box, Node):
+                for key, count in box.items():
+                    keys.append(root + key)
+                    counts.append(count)
+            else:
+                keys += [root + key for key in box]
+                counts += box.values()
+        length, counts = np.array(list(map(len, keys)), dtype=np.int64), np.array(counts, dtype=np.int64)
+        for own in np.unique(length):
+            at = np.flatnonzero(length == own)
+            rows = np.frombuffer(b"".join([keys[k] for k in at.tolist()]), dtype=">u4")
+            yield rows.reshape(len(at), -1).astype(np.int64), counts[at]
+
+
+def _packed(rows: np.ndarray) -> list[bytes]:
+    return np.ascontiguousarray(rows, dtype=">u4").view(f"V{4 * rows.shape[1]}").ravel().tolist()
 
 
 def counted(rows: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
