@@ -1,4 +1,4 @@
-"""Near-dedup: SimHash fingerprints within blocks of equal bits, and shingle sets within bands of minimum hashes."""
+"""SimHash near-dedup: fingerprints compared exactly within blocks of equal bits."""
 
 from __future__ import annotations
 
@@ -17,8 +17,6 @@ from .scratch import settle, shards
 
 # Fingerprints in a tile, and in a bucket that one task compares by itself.
 TILE, BUCKET = 512, 1 << 14
-# Shingles in a part of the texts that share a band.
-CELL = 1 << 17
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -64,65 +62,6 @@ def _fingerprints(data: np.ndarray, bounds: np.ndarray, shingle: int, seed: int)
     return _majority(hashes, np.repeat(np.arange(len(number)), number), number)
 
 
-def _shingle_sets(data: np.ndarray, bounds: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each text in order, where each text's begin, and a hash of each set."""
-    _, _, words, first = flat.words(_LOWER[data], bounds)
-    number, begin, end = _shingles(first, shingle)
-    hashes = flat.range_hash(flat.prefix_hash(words), begin, end)
-    owner = np.repeat(np.arange(len(number)), number)
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
-    new = np.ones(len(hashes), dtype=bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    hashes, owner = hashes[new], owner[new]
-    edges = np.searchsorted(owner, np.arange(len(number) + 1))
-    total = np.append(np.uint64(0), np.cumsum(flat.mix(hashes), dtype=np.uint64))
-    return hashes, edges, flat.mix(total[edges[1:]] - total[edges[:-1]] + flat.mix(np.diff(edges).astype(np.uint64)))
-
-
-def _bands(hashes: np.ndarray, edges: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """Keys of each set that is not empty: a key hashes the least values of a set under `rows` functions."""
-    head = edges[:-1][np.diff(edges) > 0]
-    factors = np.random.default_rng(8).integers(0, 1 << 63, (bands, rows), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    keys = np.zeros((len(head), bands), dtype=np.uint64)
-    for band in range(bands) if len(head) else ():
-        for factor in factors[band]:
-            keys[:, band] = flat.mix(keys[:, band] + np.minimum.reduceat(hashes * factor, head))
-    return keys
-
-
-def set_links(values: np.ndarray, edges: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest over the pairs of sets (none empty) with a Jaccard similarity that high.
-
-    Each set is compared with those that nothing has reached yet, so many copies of one text cost little.
-    """
-    size = np.diff(edges)
-    index = np.unique(values, return_inverse=True)[1]
-    inside = np.zeros(len(index), dtype=bool)
-    reached = np.zeros(len(size), dtype=bool)
-    a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-    for start in range(len(size)):
-        queue = [] if reached[start] else [start]
-        reached[start] = True
-        while queue:
-            x = queue.pop()
-            fits = np.minimum(size, size[x]) >= similarity * np.maximum(size, size[x]) - 1e-9
-            todo = np.flatnonzero(fits & ~reached)
-            if not len(todo):
-                continue
-            own = index[edges[x] : edges[x + 1]]
-            inside[own] = True
-            head = np.cumsum(size[todo]) - size[todo]
-            shared = np.add.reduceat(inside[index[flat.ragged(edges[todo], size[todo])]], head, dtype=np.int64)
-            inside[own] = False
-            near = todo[shared >= similarity * (size[x] + size[todo] - shared) - 1e-9]
-            reached[near] = True
-            queue += near.tolist()
-            a.append(np.full(len(near), x))
-            b.append(near)
-    return np.concatenate(a), np.concatenate(b)
-
-
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
     """`id_col` and the `fingerprint` (long, the 64 bits) of every whole text.
 
@@ -304,96 +243,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = settle(named.groupBy("component").agg(F.min("least").alias("component_id")), "least-ids")
     named = settle(named.select("fingerprint", "component").join(least, "component").select("fingerprint", "component_id"), "named-fingerprints")
     return prints.join(named, "fingerprint").select(id_col, "fingerprint", "component_id")
-
-
-def _similar(similarity: float):
-    """Links within each cell of a sorted stream of `band, key, low, high, node, shingles`."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, nodes, sets = None, [], []
-
-        def close() -> Iterator[pa.RecordBatch]:
-            if len(nodes) > 1:
-                edges = np.append(0, np.cumsum([len(x) for x in sets]))
-                a, b = set_links(np.concatenate(sets), edges, similarity)
-                own = np.array(nodes, dtype=np.int64)
-                yield pa.RecordBatch.from_pydict({"a": pa.array(own[a]), "b": pa.array(own[b])})
-
-        for batch in batches:
-            *key, names, bodies = batch.columns
-            for *own, node, body in zip(*(k.to_pylist() for k in key), names.to_pylist(), bodies, strict=True):
-                if own != cell:
-                    yield from close()
-                    cell, nodes, sets = own, [], []
-                nodes.append(node)
-                sets.append(np.frombuffer(body.as_py(), dtype=np.uint64))
-        yield from close()
-
-    return run
-
-
-def near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, bands: int = 24, rows: int = 5
-) -> DataFrame:
-    """`id_col` and `component_id` of every document with an id, linked at a Jaccard similarity of `similarity` or more.
-
-    Sets of `shingle`-word shingles are candidates where `rows` minimum hashes agree in one of `bands` bands: at a
-    similarity of 0.8 all bands of a pair differ with a probability of 7 in 100,000. The whole sets of candidates
-    are then compared. A band's texts that are many are dealt out as pairs of parts. `component_id` is the
-    smallest id that links reach. Words are those of `fingerprints`; texts without words (or null) link with each
-    other. Equality of shingles and of sets is that of 64-bit hashes. Rows with a null id are left out; an empty
-    table gives an empty table.
-    """
-    spark = docs.sparkSession
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = 0
-            for a, b, data, bounds in flat.groups(batch):
-                hashes, edges, whole = _shingle_sets(data, bounds, shingle)
-                found = _bands(hashes, edges, bands, rows).view(np.int64).ravel()
-                size = np.diff(edges)
-                offsets = np.append(0, np.cumsum(np.where(size > 0, bands, 0)))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "id": batch.column("id").slice(at, b - a),
-                        "node": pa.array(whole.view(np.int64)),
-                        "size": pa.array(size.astype(np.int64)),
-                        "bands": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(found)),
-                    }
-                )
-                at = b
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, data, bounds in flat.groups(batch):
-                hashes, edges, whole = _shingle_sets(data, bounds, shingle)
-                yield pa.RecordBatch.from_pydict({"node": pa.array(whole.view(np.int64)), "shingles": flat.binaries(hashes, edges)})
-
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    prints = settle(texts.mapInArrow(keys, "id long, node long, size long, bands array<long>"), "shingle-bands")
-    distinct = prints.groupBy("node").agg(F.min("id").alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands"))
-    distinct = settle(distinct, "distinct-shingle-bands")
-    each = distinct.select("node", "least", "size", F.posexplode("bands").alias("band", "key"))
-    shared = each.groupBy("band", "key").agg(F.count("*").alias("_n"), F.sum("size").alias("_size")).where("_n > 1")
-    parts = (F.col("_size") / CELL + 1).cast("int").alias("parts")
-    members = settle(each.join(settle(shared.select("band", "key", parts), "shared-bands"), ["band", "key"]), "band-members")
-
-    wanted = settle(members.select("node", "least").distinct(), "member-nodes")
-    bodies = texts.join(wanted.select(F.col("least").alias("id")).distinct(), "id").select("text")
-    bodies = bodies.mapInArrow(sets, "node long, shingles binary").join(wanted.select("node"), "node", "left_semi")
-    bodies = settle(bodies.dropDuplicates(["node"]), "member-shingles")
-
-    # all pairs of parts meet; a single part meets itself
-    dealt = members.withColumn("part", F.pmod(F.xxhash64("node", "band"), "parts").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("parts = 1 or part <> other")
-    dealt = dealt.select("band", "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "node")
-    cells = dealt.join(bodies, "node").select("band", "key", "low", "high", "node", "shingles")
-    at = ["band", "key", "low", "high"]
-    cells = cells.repartition(shards(spark), *at).sortWithinPartitions(*at)
-    joined = settle(components(settle(cells.mapInArrow(_similar(similarity), "a long, b long"), "similar-links")), "similar-components")
-
-    named = distinct.join(joined, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
-    least = settle(named.groupBy("component").agg(F.min("least").alias("component_id")), "least-similar-ids")
-    named = settle(named.join(least, "component").select("node", "component_id"), "named-shingle-sets")
-    return prints.join(named, "node").select(F.col("id").alias(id_col), "component_id")

@@ -12,15 +12,17 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from postmill.llm import packing, suffix_sort
+from postmill.llm import flat, packing, suffix_sort
 from postmill.llm.compression_classifier import score_quality
 from postmill.llm.components import forest
 from postmill.llm.mixing import mix
 from postmill.llm.neighbours import hilbert_keys, search
-from postmill.llm.quality_rules import apply_rules
+from postmill.llm.quality_rules import apply_rules, counts as quality_counts
 from postmill.llm.queries import URL_RULES
+from postmill.llm import shingle_sets
 from postmill.llm import simhash as simhash_operator
-from postmill.llm.simhash import near_copies, near_duplicates
+from postmill.llm.shingle_sets import near_copies, set_links
+from postmill.llm.simhash import near_duplicates
 from postmill.llm.substring_dedup import remove_repeats
 from postmill.llm.suffix_dedup import remove_repeated_bytes
 from postmill.llm.toxicity import grade
@@ -188,7 +190,7 @@ def test_near_copies(empty, spark):
 @pytest.mark.parametrize("cell", [1 << 17, 900])
 def test_pipeline_drops_similar_texts(monkeypatch, cell, spark):
     """No two kept texts have a similarity of 0.8 or more; texts far below it stay. Few shingles a part: all pairs of parts meet."""
-    monkeypatch.setattr(simhash_operator, "CELL", cell)
+    monkeypatch.setattr(shingle_sets, "CELL", cell)
     bases = [sentence(300, 3000) for _ in range(12)]
     rows = [(k, t) for k, t in enumerate(bases)]
     rows += [(100 + 10 * k + i, changed(t, 0.015, 10 * k + i)) for k, t in enumerate(bases) for i in range(6)]
@@ -204,6 +206,100 @@ def test_pipeline_drops_similar_texts(monkeypatch, cell, spark):
     assert kept >= {*range(12), *range(300, 312)}
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.booleans(), st.frozensets(st.integers(0, 9), min_size=1)), min_size=1, max_size=14))
+def test_set_links_connect(sets):
+    """With the sets that aren't fresh as one, the links connect what all similar pairs with a fresh set connect."""
+    values = np.concatenate([np.array(sorted(s), dtype=np.uint64) for _, s in sets])
+    edges = np.append(0, np.cumsum([len(s) for _, s in sets]))
+    a, b = set_links(values, edges, 0.6, np.array([f for f, _ in sets]))
+    name = [k if f else -1 for k, (f, _) in enumerate(sets)]
+    similar = [(i, j) for i, j in combinations(range(len(sets)), 2) if len(sets[i][1] & sets[j][1]) >= 0.6 * len(sets[i][1] | sets[j][1])]
+    assert all((min(i, j), max(i, j)) in similar for i, j in zip(a.tolist(), b.tolist(), strict=True))
+
+    def groups(pairs):
+        of = {n: n for n in name}
+        for i, j in pairs:
+            old, new = of[name[i]], of[name[j]]
+            of = {n: new if r == old else r for n, r in of.items()}
+        return {frozenset(n for n in of if of[n] == r) for r in set(of.values())}
+
+    assert groups(zip(a, b, strict=True)) == groups(similar)
+
+
+def test_near_dedup_follows_both_kinds_of_link(spark):
+    """Two texts under one id, a null id that copies a named one, and a chain across fingerprints and sets."""
+    far, near = sentence(300, 3000), sentence(300, 3000)
+    rows = [(1, far), (1, near), (None, far), (2, "only here " + sentence(80, 3000)), (None, "no id " + sentence(80, 3000))]
+    chain = sentence(400, 4000)
+    # punctuation between blanks changes many shingles but few bits of the fingerprint, an exact copy changes none
+    rows += [(10, chain), (11, chain), (12, changed(chain, 0.02, 1)), (13, changed(changed(chain, 0.02, 1), 0.02, 2)), (14, changed(changed(changed(chain, 0.02, 1), 0.02, 2), 0.02, 3))]
+    rows += [rows[0], rows[3]]
+    words = {k: t.lower().split() for k, (_, t) in enumerate(rows)}
+    sets = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in words.items()}
+    group = {k: k for k in words}
+    for i, j in combinations(words, 2):
+        bits = (simhash(rows[i][1]) ^ simhash(rows[j][1])).bit_count()
+        if bits <= 4 or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            old, new = group[i], group[j]
+            group = {k: new if g == old else g for k, g in group.items()}
+    best = {}
+    for k, (i, t) in enumerate(rows):
+        best.setdefault(group[k], set()).add((i is None, i or 0, t))
+    expected = sorted((i is None, i, t) for i, t in ((None if m[0] else m[1], m[2]) for m in map(min, best.values())))
+    kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.text) for r in kept) == expected
+    assert len(kept) >= 5
+
+
+def thue_morse(a, b, n):
+    return [(a, b)[bin(k).count("1") % 2] for k in range(n)]
+
+
+def test_structured_texts_are_not_equal(spark):
+    """Alternating strings that collide under polynomials modulo 2**64, whatever the base."""
+    t, u = "".join(thue_morse("x", "y", 2048)), "".join(thue_morse("y", "x", 2048))
+    assert t != u
+    before, after = " ".join(f"b{k}" for k in range(10)), " ".join(f"a{k}" for k in range(10))
+    rows = [(1, f"{before} {t} {after}"), (2, f"{before} {u} {after}")]
+    kept = {r.doc_id: r.n_removed for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {1: 0, 2: 0}
+    rows = [(1, " ".join(thue_morse("t", "u", 2048))), (2, " ".join(thue_morse("u", "t", 2048)))]  # words that alternate
+    for found, units, window in (
+        (remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")), str.split, 20),
+        (remove_repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string")), str.encode, 100),
+    ):
+        class Row:
+            def __init__(self, text):
+                self.text = text
+        expected = {k + 1: sum(gone) for k, (_, gone) in enumerate(gone_units(units, window, [Row(x) for _, x in rows]))}
+        assert {r.doc_id: r.n_removed for r in found.collect()} == expected
+    body = f"{t}\n{u}\n".encode()
+    found = quality_counts(np.frombuffer(body, dtype=np.uint8), np.array([0, len(body)]))
+    assert found["n_dup_lines"].tolist() == [0]
+    a = np.array(thue_morse(5, 9, 2048) + thue_morse(9, 5, 2048), dtype=np.uint64)
+    one, two = flat.range_hash(flat.prefix_hash(a), np.array([0, 2048]), np.array([2048, 4096]))
+    assert one != two
+    import public_tokenizers
+
+    encoder = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    body = f"{t} {u}"
+    ids, _ = encoder.encode(np.frombuffer(body.encode(), dtype=np.uint8), np.array([0, len(body)]))
+    assert ids.tolist() == encoder.tokenizer.encode(body, add_special_tokens=False).ids
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=30), st.data())
+def test_range_hashes_are_polynomials(values, data):
+    prefix = flat.prefix_hash(np.array(values, dtype=np.uint64))
+    a, b = sorted(data.draw(st.tuples(st.integers(0, len(values)), st.integers(0, len(values)))))
+    again = flat.prefix_hash(np.array([7, *values[a:b], 3], dtype=np.uint64))
+    one = flat.range_hash(prefix, np.array([a]), np.array([b]))
+    assert one == flat.range_hash(again, np.array([1]), np.array([b - a + 1]))
+    x, y = (v % flat.PRIME for v in (values[0], values[-1]))
+    assert int(flat.times(np.array([x], dtype=np.uint64), np.array([y], dtype=np.uint64))[0]) == x * y % flat.PRIME
+
+
 @pytest.mark.parametrize("width", [1, 4])
 def test_tiles_connect_what_pairs_connect(monkeypatch, width):
     monkeypatch.setattr(simhash_operator, "TILE", 16)
@@ -405,7 +501,7 @@ def test_pipeline_stages(docs, empty, labels, tmp_path, spark):
         found.count()
         assert stage(spark, empty.select(*own.columns), str(tmp_path)).count() == 0
     kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, own, "").collect()}
-    assert 1 in kept and 11 not in kept and None in kept
+    assert 1 in kept and 11 not in kept and 0 in kept and None not in kept  # a row without an id is a copy like any other
     cut = {r.doc_id: r.text for r in corpus_pipeline.substring_dedup(spark, own, "").collect()}
     assert cut[1] == PASSAGE and PASSAGE not in cut[2] and cut[11] == ""
     assert corpus_pipeline.packing(spark, own, "").count() >= own.count()
