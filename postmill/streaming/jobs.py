@@ -1,13 +1,25 @@
 """Streams over landed logs. Every writer ends when the landed input is used up (`availableNow`)."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from postmill import constants as C
 from postmill.functions.text import blank_if_null, strip
-from postmill.operators.breaker import chunk_summaries, fold_summaries
-from postmill.operators.positions import chunk_of
+from postmill.operators.dedupe import first_row, last_row
 from postmill.operators.reuse import finished_addresses
 from postmill.schemas import EVENT
+from postmill.session import remove_path, settle
+from postmill.sources.artifacts import read_landed
+
+COUNTERS = T.StructType(
+    [
+        T.StructField("org_abbrev", T.StringType()),
+        T.StructField("enrich_status", T.StringType()),
+        T.StructField("jobs", T.LongType()),
+        T.StructField("words", T.LongType()),
+        T.StructField("seconds", T.DoubleType()),
+    ]
+)
 
 
 def event_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -31,72 +43,63 @@ def org_counters(events: DataFrame) -> DataFrame:
     )
 
 
-def write_counters(counters: DataFrame, path: str, checkpoint: str) -> None:
-    """Keep the complete counters of each micro-batch under `path/batch=N`."""
+def write_counters(counters: DataFrame, path: str, checkpoint: str, keep: int = 16) -> None:
+    """Keep the counters that each micro-batch changed under `path/changes/batch=N`.
 
-    def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+    Every `keep` batches the newest value of each key is folded into `path/whole/batch=N`, and what it replaces
+    is removed, so a reader meets one whole table and fewer than `keep` changes. A batch that is repeated writes the same files.
+    """
+    spark = counters.sparkSession
 
-    writer = counters.writeStream.outputMode("complete").foreachBatch(save)
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id:012d}")
+        if batch_id % keep != keep - 1:
+            return
+        latest_counters(spark, path, counters.schema).write.mode("overwrite").parquet(f"{path}/whole/batch={batch_id:012d}")
+        for earlier in range(batch_id - keep + 1, batch_id + 1):
+            remove_path(spark, f"{path}/changes/batch={earlier:012d}")
+        remove_path(spark, f"{path}/whole/batch={batch_id - keep:012d}")
+
+    writer = counters.writeStream.outputMode("update").foreachBatch(save)
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def latest_batch(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the newest micro-batch under `path`."""
-    rows = spark.read.parquet(path)
-    newest = rows.agg(F.max("batch").alias("batch"))
-    return rows.join(newest, "batch", "left_semi").drop("batch")
+def latest_counters(spark: SparkSession, path: str, schema: T.StructType = COUNTERS) -> DataFrame:
+    """The newest counters of each organisation and status: the last whole table and the changes after it."""
+    layout = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    parts = [read_landed(spark.read.schema(layout).parquet, f"{path}/{kind}") for kind in ("whole", "changes")]
+    rows = [p for p in parts if p is not None]
+    if not rows:
+        return spark.createDataFrame([], schema)
+    return last_row(reduce(DataFrame.unionByName, rows), ["org_abbrev", "enrich_status"], ["batch"]).drop("batch")
 
 
 def new_listings(listings: DataFrame, prior: DataFrame, event_time: str, delay: str) -> DataFrame:
     """Stream of listings not enriched before, first per address within the delay.
 
-    The watermark bounds the remembered addresses. Listings without an address all pass.
+    The watermark bounds the remembered addresses, and a listing older than it is dropped: `late_listings` finds
+    those afterwards. Listings without an address all pass.
     """
-    named = listings.withWatermark(event_time, delay).withColumn("url", strip(blank_if_null(F.col("url"))))
+    named = _fresh(listings.withWatermark(event_time, delay), prior)
+    return named.dropDuplicatesWithinWatermark(["org_abbrev", "url", "_blank"]).drop("_blank")
+
+
+def _fresh(listings: DataFrame, prior: DataFrame) -> DataFrame:
+    named = listings.withColumn("url", strip(blank_if_null(F.col("url"))))
     fresh = named.join(finished_addresses(prior), ["org_abbrev", "url"], "left_anti")
-    fresh = fresh.withColumn("_blank", F.when(F.col("url") == "", F.col("job_index")))
-    return fresh.dropDuplicatesWithinWatermark(["org_abbrev", "url", "_blank"]).drop("_blank")
-
-
-def run_breaker(
-    attempts: DataFrame,
-    out: str,
-    state: str,
-    checkpoint: str,
-    chunk: Column | None = None,
-    threshold: int = C.BREAKER_THRESHOLD,
-) -> None:
-    """Breaker over a stream of `(org_abbrev, job_index, is_limited, is_cached, ...)`.
-
-    One small state row per organisation (run length, opening position) lives in `state/batch=N`, so a
-    repeated batch gives the same files and a hot organisation is still split into chunks. Positions
-    must rise from batch to batch; a late lower position is judged against the state it meets.
+    return fresh.withColumn("_blank", F.when(F.col("url") == "", F.col("job_index")))
+
+
+def late_listings(landed: DataFrame, prior: DataFrame, passed: DataFrame, event_time: str) -> DataFrame:
+    """Listings that have landed, were not enriched before and never passed the stream: they came too late.
+
+    One row for each address, the earliest; one for each listing without an address. `passed` is what the stream
+    of `new_listings` wrote over the same listings. Run it when the stream has read all that has landed.
     """
-    spark = attempts.sparkSession
-    empty = "org_abbrev string, streak bigint, open_at bigint"
-    chunk = chunk_of(F.col("job_index")) if chunk is None else chunk
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        earlier = (
-            spark.read.schema(empty).parquet(f"{state}/batch={batch_id - 1:012d}")
-            if batch_id
-            else spark.createDataFrame([], empty)
-        )
-        live = batch.filter(~F.col("is_cached"))
-        summary = chunk_summaries(live, "org_abbrev", "job_index", F.col("is_limited"), chunk, threshold)
-        seen = fold_summaries(summary, "org_abbrev", earlier, threshold)
-        idle = earlier.join(seen.select("org_abbrev"), "org_abbrev", "left_anti")
-        now = f"{state}/batch={batch_id:012d}"
-        seen.select("org_abbrev", "streak", "open_at").unionByName(
-            idle.select("org_abbrev", "streak", "open_at")
-        ).write.mode("overwrite").parquet(now)
-        opened = spark.read.schema(empty).parquet(now).select("org_abbrev", "open_at")
-        skipped = ~F.col("is_cached") & (F.col("job_index") > F.col("open_at"))
-        labelled = batch.join(opened, "org_abbrev", "left").withColumn(
-            "is_skipped", F.coalesce(skipped, F.lit(False))
-        )
-        labelled.write.mode("overwrite").parquet(f"{out}/batch={batch_id:012d}")
-
-    writer = attempts.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-    writer.trigger(availableNow=True).start().awaitTermination()
+    fresh = _fresh(landed, prior)
+    key = ["org_abbrev", "url", "_blank"]
+    seen = passed.select("org_abbrev", "url", F.when(F.col("url") == "", F.col("job_index")).alias("_blank")).distinct()
+    seen = settle(seen, "passed")
+    same = [fresh[k].eqNullSafe(seen[k]) for k in key]
+    missing = fresh.join(seen, reduce(lambda a, b: a & b, same), "left_anti")
+    return first_row(missing, key, [event_time, "job_index"]).drop("_blank")
