@@ -4,7 +4,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from postmill import constants as C
 from postmill.functions.text import null_if_blank
@@ -12,9 +12,13 @@ from postmill.operators.rollup import org_blocks
 from postmill.plans.quality import rendered
 from postmill.plans.report import HEADER, table_lines
 from postmill.plans.resolution import pdf_path
-from postmill.schemas import EVENT
+from postmill.operators.positions import range_chunks
+from postmill.schemas import EVENT, STATE
 from postmill.session import settle
-from postmill.sources.artifacts import state_bucket
+from postmill.sources.artifacts import read_folders, state_bucket, state_folders
+
+# Folders of a new state, and event lines in a file.
+STATE_BUCKETS, LOG_LINES = 64, 1_000_000
 
 
 def new_run_id(prefix: str = "run") -> str:
@@ -39,24 +43,34 @@ def write_postings(
     return path
 
 
-def write_state(
-    state: DataFrame, state_dir: str, keep: DataFrame | None = None, ran: DataFrame | None = None
-) -> str:
-    """Write a new state snapshot; `keep` holds the earlier rows, which organisations not in this run retain.
+def write_state(state: DataFrame, state_dir: str, ran: DataFrame, buckets: int = STATE_BUCKETS) -> str:
+    """Write the rows of a run and point to them in a new snapshot; the path of the rows.
 
-    `ran` lists the organisations (`org_abbrev`) that ran without a source failure, so that one which found
-    nothing is emptied; without it, only organisations with rows count as run. A snapshot never overwrites what the plan reads.
+    `ran` lists the organisations (`org_abbrev`) that ran without a source failure: their earlier rows go, and one
+    that found nothing is emptied. All others keep their rows. Only the folders (buckets) of organisations that
+    ran or have rows are written; the snapshot points to the folders of earlier runs for the rest. A folder is
+    never overwritten, so a plan may read the state it replaces, and a run that fails changes nothing. The number of
+    buckets is that of the first run.
     """
-    if keep is not None:
-        touched = state.select("org_abbrev")
-        if ran is not None:
-            touched = touched.union(ran.select("org_abbrev"))
-        touched = touched.distinct()
-        state = state.unionByName(keep.join(touched, "org_abbrev", "left_anti"))
-    stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
-    path = f"{state_dir}/snapshot={stamp}"
-    placed = state.withColumn("org_bucket", state_bucket(F.col("org_abbrev"))).hint("rebalance", "org_bucket")
+    spark = state.sparkSession
+    stored, folders = state_folders(spark, state_dir)
+    buckets = stored or buckets
+    place = lambda rows: rows.withColumn("org_bucket", state_bucket(F.col("org_abbrev"), buckets))
+    state = settle(place(state.select(*STATE.fieldNames())), "state")
+    touched = settle(state.select("org_abbrev").union(ran.select("org_abbrev")).distinct(), "touched")
+    named = {r[0] for r in place(touched).select("org_bucket").distinct().collect()}
+    earlier = place(read_folders(spark, [folders[b] for b in sorted(named & set(folders))]))
+    kept = earlier.join(touched, "org_abbrev", "left_anti").select(*state.columns)
+    path = f"{state_dir}/rows/{uuid.uuid4().hex}"
+    placed = state.unionByName(kept).hint("rebalance", "org_bucket")
     placed.sortWithinPartitions("org_bucket", "org_abbrev", "index").write.partitionBy("org_bucket").parquet(path)
+    layout = state.schema
+    written = {r[0] for r in spark.read.schema(layout).parquet(path).select("org_bucket").distinct().collect()}
+    now = {b: p for b, p in folders.items() if b not in named} | {b: f"{path}/org_bucket={b}" for b in written}
+    stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
+    lines = [(-1, buckets, ""), *((b, buckets, p) for b, p in sorted(now.items()))]
+    manifest = spark.createDataFrame(lines, "org_bucket int, buckets int, path string").coalesce(1)
+    manifest.write.json(f"{state_dir}/manifests/snapshot={stamp}")
     return path
 
 
@@ -72,11 +86,31 @@ def state_headers(orgs: DataFrame, state: DataFrame, now: str) -> DataFrame:
     )
 
 
-def append_events(events: DataFrame, runs_dir: str, run_id: str) -> str:
-    """Append event lines in organisation order; absent fields are left out of a line."""
+def append_events(events: DataFrame, runs_dir: str, run_id: str, lines: int = LOG_LINES) -> str:
+    """Append event lines in organisation order, `lines` to a file; absent fields are left out of a line.
+
+    A line's place is the number of lines of the organisations before its own, plus its place there. Files are cut
+    by that number, so the log is in order without a sort of the whole run. File names rise with the places.
+    """
     path = f"{runs_dir}/{run_id}/logs.ndjson"
-    ordered = events.orderBy("org_abbrev", "seq", "step").select(*EVENT.fieldNames())
-    ordered.write.mode("append").option("ignoreNullFields", "true").json(path)
+    part = F.floor(F.col("seq") / F.lit(C.CHUNK_ROWS)).cast("bigint")
+    rows = settle(events.withColumn("_part", part), "events")
+    keys = ["org_abbrev", "_part"]
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_lines")).withColumn("_all", F.lit(0))
+    # small rows, one a part of an organisation: lines before each within its range, and before the range
+    ranged = range_chunks(sizes, "_all", keys, chunk="_range")
+    inside = W.partitionBy("_range").orderBy(*keys).rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("_all").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    starts = ranged.groupBy("_all", "_range").agg(F.sum("_lines").alias("_sum"))
+    starts = starts.select("_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    ranged = ranged.withColumn("_before", F.coalesce(F.sum("_lines").over(inside), F.lit(0)))
+    offsets = settle(ranged.join(starts, "_range").select(*keys, (F.col("_before") + F.col("_start")).alias("_offset")), "event-offsets")
+    local = F.row_number().over(W.partitionBy(*keys).orderBy("seq", "step"))
+    placed = rows.withColumn("_local", local).join(offsets, keys)
+    place = F.col("_offset") + F.col("_local") - 1
+    placed = placed.withColumn("_place", place).withColumn("_file", F.floor(place / F.lit(lines)).cast("int"))
+    files = placed.repartitionById(max(1, -(-rows.count() // lines)), F.col("_file")).sortWithinPartitions("_place")
+    files.select(*EVENT.fieldNames()).write.mode("append").option("ignoreNullFields", "true").json(path)
     return path
 
 
