@@ -12,7 +12,10 @@ from postmill.operators.reuse import with_prior, work_list
 from postmill.operators.rollup import flatten_blocks, job_counts, org_blocks, org_measures, org_report
 from postmill.plans.collect import blocked_sources
 from postmill.plans.report import table_lines
+from postmill.schemas import STATE
+from postmill.session import scratch_path
 from postmill.sinks.artifacts import pdf_manifest, state_headers
+from postmill.sinks.reuse_index import append_reuse, with_stored_prior
 from postmill.sources.registry import all_orgs, find_orgs, merge_registries, unknown_orgs
 from postmill.sources.search_pages import facet_listings, simple_listings, table_listings
 from postmill.suite.base import (
@@ -398,6 +401,35 @@ def reused_results(spark, folder):
     )
 
 
+@query(
+    "stored_reuse",
+    f"""WITH {PRIOR_SQL},
+        newest AS (SELECT * FROM prior WHERE org_abbrev <> 'SRC2'
+                   UNION ALL SELECT org_abbrev, url, enrich_status, 'second' FROM results
+                   WHERE org_abbrev = 'SRC2' AND doc_id % 3 = 0 AND url <> '' AND enrich_status IN ('ok', 'pdf'))
+        SELECT l.doc_id, l.url, p.prior_status, p.prior_version, p.url IS NOT NULL AS is_cached
+        FROM results l LEFT JOIN newest p USING (org_abbrev, url) WHERE l.doc_id % 5 <> 0""",
+)
+def stored_reuse(spark, folder):
+    """Reuse from the bucketed index of two runs; one organisation was in both, and some of its addresses are gone."""
+    home = scratch_path(spark, "reuse-index")
+    first = prior_state(spark, folder)
+    append_reuse(first, first.select("org_abbrev"), home)
+    rows = postings(spark, folder).filter((F.col("org_abbrev") == "SRC2") & (F.col("doc_id") % 3 == 0))
+    second = {"extras": F.create_map(F.lit("version"), F.lit("second"))}
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in STATE.fields if f.name not in rows.columns and f.name != "extras"]
+    rows = rows.select("*", *blank).withColumns(second).select(*STATE.fieldNames())
+    append_reuse(rows, spark.createDataFrame([("SRC2",)], "org_abbrev string"), home)
+    found = with_stored_prior(current_listings(spark, folder), home)
+    return found.select(
+        "doc_id",
+        "url",
+        F.col("prior.enrich_status").alias("prior_status"),
+        F.col("prior.extras")["version"].alias("prior_version"),
+        F.col("prior").isNotNull().alias("is_cached"),
+    )
+
+
 @query(
     "work_list",
     f"""WITH {PRIOR_SQL}

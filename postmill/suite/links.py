@@ -323,7 +323,7 @@ def page_descriptions(spark, folder):
 _HALF = "substr(text, 1, CAST(length(text) // 2 AS BIGINT))"
 
 
-def _leaf_score(x: str, marked: bool) -> str:
+def leaf_score(x: str, marked: bool) -> str:
     bonus = 250 if marked else 0
     return f"""{sql_words(x)} + {bonus} - 500 * CAST({sql_any(f'lower({x})', C.LEAF_NOISE)} AS INTEGER)
                - 500 * CAST(contains(lower({x}), 'job list') AND contains(lower({x}), 'confirm') AS INTEGER)"""
@@ -332,8 +332,8 @@ def _leaf_score(x: str, marked: bool) -> str:
 @query(
     "app_json_texts",
     f"""WITH cleaned AS (SELECT doc_id, source, {sql_clean('text')} AS whole, {sql_clean(_HALF)} AS half FROM documents),
-        leaves AS (SELECT doc_id, 0 AS pos, whole AS leaf, {_leaf_score('whole', False)} AS score FROM cleaned
-                   UNION ALL SELECT doc_id, 1, half, {_leaf_score('half', True)} FROM cleaned),
+        leaves AS (SELECT doc_id, 0 AS pos, whole AS leaf, {leaf_score('whole', False)} AS score FROM cleaned
+                   UNION ALL SELECT doc_id, 1, half, {leaf_score('half', True)} FROM cleaned),
         best AS (SELECT doc_id, arg_max(leaf, (score, -pos)) AS leaf FROM leaves
                  WHERE length(leaf) >= {C.MIN_LEAF_CHARS} AND score >= {C.MIN_LEAF_SCORE} GROUP BY doc_id)
         SELECT d.doc_id, CASE WHEN d.source = 'src2' THEN '' ELSE substr(coalesce(b.leaf, ''), 1, {C.MAX_DESCRIPTION_CHARS}) END AS leaf_text
@@ -356,14 +356,14 @@ def app_json_texts(spark, folder):
 
 # --- percent-coded detail pages -------------------------------------------------------
 
-_PIECES = f"list_filter(list_transform(string_split(text, chr(10)), lambda l: {sql_strip('l')}), lambda l: l <> '')"
+PIECES_SQL = f"list_filter(list_transform(string_split(text, chr(10)), lambda l: {sql_strip('l')}), lambda l: l <> '')"
 _JOINED = "coalesce(array_to_string(pieces, chr(10)), '')"
 _LONG = "list_filter(pieces, lambda l: length(l) > 15)"
 
 
 @query(
     "legacy_texts",
-    f"""WITH p AS (SELECT doc_id, {_PIECES} AS pieces FROM documents),
+    f"""WITH p AS (SELECT doc_id, {PIECES_SQL} AS pieces FROM documents),
         t AS (SELECT doc_id, {_JOINED} AS whole, coalesce(array_to_string({_LONG}, chr(10)), '') AS long_lines FROM p)
         SELECT doc_id, substr(CASE doc_id % 3 WHEN 0 THEN whole
                WHEN 1 THEN CASE WHEN long_lines <> '' THEN long_lines WHEN length(whole) > 200 THEN whole ELSE '' END

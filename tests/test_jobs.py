@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 import random
 
 import pytest
@@ -18,14 +19,17 @@ from postmill.plans.collect import collect_outcomes, drop_failed, failed_orgs, o
 from postmill.plans.enrich import enrich_outcomes, new_state
 from postmill.plans.quality import rendered, violations
 from postmill.plans.resolution import result
-from postmill.schemas import ORG_BLOCK, STATE
-from postmill.sinks.artifacts import new_run_id, write_postings, write_report, write_state, write_violations
-from postmill.sources.artifacts import read_org_blocks, read_state
+from postmill.schemas import EVENT, ORG_BLOCK, STATE
+from postmill.sinks.artifacts import append_events, new_run_id, write_postings, write_report, write_state, write_violations
+from postmill.sinks.reuse_index import append_reuse, read_reuse, with_stored_prior
+from postmill.sources.artifacts import read_org_blocks, read_state, state_folders
 from postmill.sources.gates import load_gates, overrides_frame
 from postmill.sources.registry import find_orgs, merge_registries, registry_frame
 from postmill.sources.rules import rules_frame
 from postmill.sources.search_pages import facet_listings, simple_failures, simple_listings, table_failures, table_listings
-from postmill.streaming.jobs import run_breaker
+from postmill.sinks.run import write_run
+from postmill.streaming.breaker import OPENING, limited_runs, run_breaker, with_openings
+from postmill.streaming.jobs import append_stream, late_listings, latest_counters, new_listings, org_counters, write_counters
 
 NOW = dt.datetime(2026, 1, 2, 3, 4, 5)
 
@@ -205,18 +209,95 @@ def test_enrichment_keeps_reused_rows_whole_and_failures_partly(spark, rows):
     assert [r.description for r in new_state(forced, F.lit(NOW)).collect()] == ["new text"]
 
 
+def orgs_frame(spark, *orgs):
+    return spark.createDataFrame([(o,) for o in orgs], "org_abbrev string")
+
+
 def test_state_snapshots(spark, tmp_path):
     home = str(tmp_path / "state")
     assert read_state(spark, home).count() == 0
-    write_state(state_row(spark, {"org_abbrev": "A", "index": 1}, {"org_abbrev": "B", "index": 1}), home)
-    earlier = read_state(spark, home)
-    write_state(state_row(spark, {"org_abbrev": "A", "index": 7}), home, keep=earlier)
+    write_state(state_row(spark, {"org_abbrev": "A", "index": 1}, {"org_abbrev": "B", "index": 1}), home, orgs_frame(spark, "A", "B"))
+    write_state(state_row(spark, {"org_abbrev": "A", "index": 7}), home, orgs_frame(spark, "A"))
     assert {(r.org_abbrev, r["index"]) for r in read_state(spark, home).collect()} == {("A", 7), ("B", 1)}
     assert read_state(spark, home, ["B"]).count() == 1
-    ran = spark.createDataFrame([("A",), ("B",)], "org_abbrev string")
-    earlier = read_state(spark, home)
-    write_state(state_row(spark, {"org_abbrev": "A", "index": 8}), home, keep=earlier, ran=ran)
+    write_state(state_row(spark, {"org_abbrev": "A", "index": 8}), home, orgs_frame(spark, "A", "B"))
     assert {(r.org_abbrev, r["index"]) for r in read_state(spark, home).collect()} == {("A", 8)}
+    write_state(state_row(spark), home, orgs_frame(spark, "A"))
+    assert read_state(spark, home).count() == 0
+
+
+def test_state_writes_touched_folders_only(spark, tmp_path):
+    home = str(tmp_path / "state")
+    names = [f"O{k}" for k in range(40)]
+    write_state(state_row(spark, *({"org_abbrev": n, "index": k} for k, n in enumerate(names))), home, orgs_frame(spark, *names), buckets=16)
+    buckets, before = state_folders(spark, home)
+    assert buckets == 16 and len(before) > 8
+    earlier = read_state(spark, home)
+    # the stored number of buckets holds, whatever is asked for
+    path = write_state(state_row(spark, {"org_abbrev": "O3", "index": 99}), home, orgs_frame(spark, "O3"), buckets=4)
+    buckets, after = state_folders(spark, home)
+    changed = {b for b in before if after[b] != before[b]}
+    assert buckets == 16 and set(after) == set(before) and len(changed) == 1
+    assert sorted(p for p in os.listdir(path) if p.startswith("org_bucket=")) == [f"org_bucket={b}" for b in changed]
+    want = {(n, k) for k, n in enumerate(names)}
+    assert {(r.org_abbrev, r["index"]) for r in earlier.collect()} == want  # a plan over the older snapshot still reads it
+    assert {(r.org_abbrev, r["index"]) for r in read_state(spark, home).collect()} == want - {("O3", 3)} | {("O3", 99)}
+
+
+@pytest.mark.parametrize("lines", [1, 3, 7, 1000])
+def test_event_log_is_in_order(spark, rows, tmp_path, lines):
+    pick = random.Random(lines)
+    given = [(org, seq, step, f"e{step}") for org, n in (("b", 5), ("a", 9), ("hot", 30), ("c", 1)) for seq in range(-1, n) for step in range(2)]
+    pick.shuffle(given)
+    schema = "org_abbrev string, seq bigint, step int, event string"
+    events = rows(schema, *given).repartition(5)
+    for name in EVENT.fieldNames():
+        if name not in events.columns:
+            events = events.withColumn(name, F.col("seq") if name == "job_index" else F.lit(None).cast(EVENT[name].dataType))
+    path = append_events(events, str(tmp_path), "run", lines)
+    found = []
+    for file in sorted(f for f in os.listdir(path) if f.startswith("part-")):
+        with open(f"{path}/{file}") as body:
+            own = [json.loads(line) for line in body]
+        assert len(own) <= lines
+        found += [(e["org_abbrev"], e["job_index"], e["event"]) for e in own]
+    assert found == [(org, seq, event) for org, seq, _, event in sorted(given)]
+
+
+def test_reuse_index_over_several_runs(spark, rows, tmp_path):
+    home = str(tmp_path / "index")
+    done = {"enrich_status": "ok", "content_type": "html"}
+
+    def state(*values):
+        return state_row(spark, *({**done, "org_abbrev": o, "url": u, "index": i, "description": d} for o, u, i, d in values))
+
+    def stored():
+        return {(r.org_abbrev, r.url): r.prior.description for r in read_reuse(spark, home).collect()}
+
+    listed = rows("org_abbrev string, job_index bigint, url string", ("A", 1, " u1 "), ("A", 2, ""), ("A", 3, None), ("B", 1, "u1"), ("A", 4, "u9"))
+    assert with_stored_prior(listed, home).filter("prior is not null").count() == 0
+    append_reuse(state(("A", "u1", 1, "first"), ("A", "u1", 5, "last"), ("A", "u2", 2, "two"), ("A", "", 3, "no address"), ("B", "u1", 1, "b")), orgs_frame(spark, "A", "B"), home, buckets=4)
+    assert stored() == {("A", "u1"): "last", ("A", "u2"): "two", ("B", "u1"): "b"}
+    append_reuse(state(("A", "u1", 1, "again")), orgs_frame(spark, "A", "C"), home, buckets=9)
+    assert stored() == {("A", "u1"): "again", ("B", "u1"): "b"}  # u2 is gone, B did not run
+    found = {(r.org_abbrev, r.job_index): r.prior and r.prior.description for r in with_stored_prior(listed, home).collect()}
+    assert found == {("A", 1): "again", ("A", 2): None, ("A", 3): None, ("A", 4): None, ("B", 1): "b"}
+    append_reuse(state(("A", "u2", 1, "back")), orgs_frame(spark, "A"), home)
+    assert stored() == {("A", "u2"): "back", ("B", "u1"): "b"}
+
+
+def test_reuse_index_shuffles_listings_only(spark, rows, tmp_path):
+    home = str(tmp_path / "index")
+    values = [{"org_abbrev": "A", "url": f"u{k}", "index": k, "enrich_status": "ok"} for k in range(20)]
+    append_reuse(state_row(spark, *values), orgs_frame(spark, "A"), home, buckets=8)
+    listed = rows("org_abbrev string, job_index bigint, url string", *(("A", k, f"u{k}") for k in range(30)))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = with_stored_prior(listed, home)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan and "SortMergeJoin" in plan
 
 
 GATES = {"defaults": {"min_words": 50, "max_words": 10000, "max_fetch_seconds_per_job": 10.0}, "org_overrides": {}}
@@ -432,18 +513,46 @@ def test_unreadable_search_pages_fail_their_source(rows):
     assert [(r.source_id, r.page_no) for r in simple_failures(pages, 2).collect()] == [("html", 2)]
 
 
+ATTEMPT = "org_abbrev string, job_index bigint, is_limited boolean, is_cached boolean"
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_streamed_breaker_carries_its_state(spark, rows, tmp_path, seed):
-    attempts = random_attempts(seed, 150)
-    schema = "org_abbrev string, job_index bigint, is_limited boolean, is_cached boolean"
+    attempts, read = random_attempts(seed, 150), []
     for portion in range(3):
         part = [a for a in attempts if min(a[1] // 12, 2) == portion]
-        rows(schema, *part).repartition(3).write.mode("append").parquet(f"{tmp_path}/in")
-        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
-        run_breaker(stream, f"{tmp_path}/out", f"{tmp_path}/state", f"{tmp_path}/c", chunk_of(F.col("job_index"), 5))
-    out = spark.read.parquet(f"{tmp_path}/out")
+        rows(ATTEMPT, *part).repartition(3).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(ATTEMPT).parquet(f"{tmp_path}/in")
+        read.append(run_breaker(stream, f"{tmp_path}/out", f"{tmp_path}/c") == len(part))
+    assert read == [True, True, True]  # no attempt is read twice
+    openings = spark.read.schema(OPENING).parquet(f"{tmp_path}/out")
+    out = with_openings(rows(ATTEMPT, *attempts), openings)
     assert out.count() == len(attempts)
     assert {(r.org_abbrev, r.job_index) for r in out.filter("is_skipped").collect()} == brute_breaker(attempts)
+    # the same as the breaker over all rows at once
+    whole = with_breaker(rows(ATTEMPT, *attempts), "org_abbrev", "job_index", F.col("is_limited"), chunk_of(F.col("job_index"), 5), F.col("is_cached"))
+    assert sorted(map(tuple, openings.collect())) == sorted({(r.org_abbrev, r.open_at) for r in whole.collect() if r.open_at is not None})
+
+
+def test_idle_breaker_state_expires(spark, rows, tmp_path):
+    def land(name, *attempts):
+        rows(ATTEMPT, *attempts).write.mode("append").parquet(f"{tmp_path}/{name}")
+        return spark.readStream.schema(ATTEMPT).parquet(f"{tmp_path}/{name}")
+
+    for name, idle in (("kept", None), ("idle", 1)):
+        for k in range(3):
+            run_breaker(land(name, ("a", k + 1, True, False)), f"{tmp_path}/{name}-out", f"{tmp_path}/{name}-c", idle=idle)
+    found = {n: spark.read.schema(OPENING).parquet(f"{tmp_path}/{n}-out").collect() for n in ("kept", "idle")}
+    assert [tuple(r) for r in found["kept"]] == [("a", 3)] and found["idle"] == []
+
+
+def test_a_hot_organisation_enters_the_state_as_runs(spark):
+    attempts = spark.range(1, 100_001, 1, 4).select(
+        F.lit("hot").alias("org_abbrev"), F.col("id").alias("job_index"), (F.col("id") % 50_000 < 2).alias("is_limited"), (F.col("id") % 7 == 0).alias("is_cached")
+    )
+    found = limited_runs(attempts)
+    live = attempts.filter("is_limited and not is_cached").count()
+    assert found.count() < 100_000 / 100 and found.agg(F.sum("hits")).first()[0] == live
 
 
 def test_violation_file_and_run_id(spark, rows, tmp_path):
@@ -452,3 +561,66 @@ def test_violation_file_and_run_id(spark, rows, tmp_path):
     import re
 
     assert re.fullmatch(r"org-x-\d{8}T\d{6}Z-[0-9a-f]{8}", new_run_id("org-x"))
+
+
+COUNTED = "event string, org_abbrev string, enrich_status string, word_count bigint, duration_seconds double"
+
+
+def test_live_counters_are_folded(spark, rows, tmp_path):
+    home, every = str(tmp_path), []
+    for batch in range(7):
+        part = [("job_result", f"o{(batch + k) % 4}", "ok", batch, 0.5) for k in range(batch % 3 + 1)]
+        every += part
+        rows(COUNTED, *part).write.mode("append").parquet(f"{home}/in")
+        stream = spark.readStream.schema(COUNTED).parquet(f"{home}/in")
+        write_counters(org_counters(stream), f"{home}/out", f"{home}/c", keep=3)
+        found = {(r.org_abbrev, r.jobs, r.words) for r in latest_counters(spark, f"{home}/out").collect()}
+        want = {}
+        for _, org, _, words, _ in every:
+            jobs, total = want.get(org, (0, 0))
+            want[org] = (jobs + 1, total + words)
+        assert found == {(org, *counts) for org, counts in want.items()}
+        assert len([f for f in os.listdir(f"{home}/out/changes") if f.startswith("batch=")]) < 3
+    assert len([f for f in os.listdir(f"{home}/out/whole") if f.startswith("batch=")]) == 1
+    assert latest_counters(spark, f"{home}/none").count() == 0
+
+
+def test_late_listings_are_found(spark, rows, tmp_path):
+    schema = "org_abbrev string, job_index bigint, url string, ts timestamp"
+    at = lambda hour: dt.datetime(2026, 1, 1) + dt.timedelta(hours=hour)
+    batches = [
+        [("A", 1, "u1", at(0)), ("A", 2, "", at(1)), ("A", 3, "done", at(1))],
+        [("A", 4, "u2", at(50)), ("A", 5, " u1", at(50))],
+        [("A", 6, "u9", at(2)), ("A", 7, "u9", at(1)), ("A", 8, "", at(2)), ("A", 9, "u2", at(2)), ("A", 10, "done", at(0)), ("B", 1, "u3", at(60))],
+    ]
+    prior = rows("org_abbrev string, url string, enrich_status string, content_type string", ("A", "done", "ok", "html"))
+    for batch in batches:
+        rows(schema, *batch).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        append_stream(new_listings(stream, prior, "ts", "1 hour"), f"{tmp_path}/out", f"{tmp_path}/c")
+    passed = spark.read.parquet(f"{tmp_path}/out").select("org_abbrev", "url", "job_index")
+    assert {(r.org_abbrev, r.job_index) for r in passed.collect()} >= {("A", 1), ("A", 2), ("A", 4), ("B", 1)}
+    late = late_listings(spark.read.parquet(f"{tmp_path}/in"), prior, passed, "ts")
+    assert {(r.org_abbrev, r.job_index) for r in late.collect()} == {("A", 7), ("A", 8)}
+
+
+def test_run_totals_come_from_the_write(spark, rows, tmp_path):
+    orgs = rows("org_abbrev string, org_name string, scraper_file string, is_playwright_scraper boolean, scraper_error string", ("a", "A", "f", False, ""), ("b", "B", "f", False, "down"))
+    schema = "org_abbrev string, index bigint, title string, url string, content_type string, enrich_status string, status_reason string, fetch_method string, description string, pdf_path string, fetch_seconds double, error string"
+    posted = rows(schema, ("a", 1, "t", "u", "html", "ok", "", "http", "abc", "", 1.5, ""), ("a", 2, "t", "v", "error", "error", "", "http", "", "", 4.0, "gone"))
+    counted = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    posted = posted.mapInArrow(watch, posted.schema)
+    check = lambda orgs, written: violations(orgs, written, overrides_frame(spark, GATES), GATES["defaults"], F.lit(TODAY))
+    totals = write_run(orgs, posted, str(tmp_path), "r1", ["a", "b"], "now", check)
+    assert counted.value == 2  # the postings are computed once
+    assert totals["violations"] > 0 and totals.pop("violations") and totals.pop("exit_code") == 1
+    assert totals == {"jobs": 2, "ok_jobs": 1, "pdf_jobs": 0, "failed_jobs": 1, "description_chars": 3, "slowest_seconds": 4.0}
+    assert "| a | ok | ok | 3 | gone |" in lines_of(spark, f"{tmp_path}/r1/report.md")
+    assert json.loads(lines_of(spark, f"{tmp_path}/r1/report.json/header")[0])["test_exit_code"] == 1
+    assert write_run(orgs, posted, str(tmp_path), "r2", ["a"], "now")["exit_code"] == 0
