@@ -32,13 +32,13 @@ _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[[9, 32]] = 1
 _KIND[[10, 11, 12, 13, *b".,;:!?"]] = 2
 # Bytes of texts counted at a time, and of texts whose phrases one partition merges.
-SLICE, MERGED = 1 << 22, 32 << 20
+SLICE, MERGED = 1 << 21, 32 << 20
 # Words of a phrase that choose its partition, and distinct words that a task names before it spills all.
-PREFIX, NAMED = 3, 1 << 20
+PREFIX, NAMED = 3, 1 << 18
 # Bits of a Bloom filter, and bits set for an entry.
 FILTER_BITS, HITS = 1 << 26, 4
 # Pairs that a task holds before it sends their sums, and bits of a pair's hash.
-PAIRS, PAIR_BITS = 1 << 20, 40
+PAIRS, PAIR_BITS = 1 << 19, 40
 # Parts into which a language's rows are dealt for a join on the language.
 SPREAD = 64
 _RUNS = "bucket int, size int, langs array<binary>, words binary, places binary, counts binary"

@@ -12,7 +12,7 @@ import numpy as np
 
 ROOT = 2
 # Entries of a container before it bursts, and of a trie before subtrees are spilled.
-BURST, HELD = 1 << 13, 1 << 19
+BURST, HELD = 1 << 13, 1 << 18
 
 
 class Node:
