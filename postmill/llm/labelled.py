@@ -1,4 +1,4 @@
-"""Bounded samples of labelled rows, and logistic fits on them."""
+"""Labelled rows, bounded samples of them, and logistic fits on those."""
 
 from __future__ import annotations
 
@@ -7,13 +7,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def sample(labels: DataFrame, label: str, rows: int, where: Column | None = None, id_col: str = "doc_id", seed: int = 0) -> DataFrame:
-    """At most `rows` labelled ids, those with the least hashes: `id`, `label` (0 or 1; the lesser of several)."""
+def labelled(labels: DataFrame, label: str, where: Column | None = None, id_col: str = "doc_id") -> DataFrame:
+    """Every labelled id once: `id`, `label` (0 or 1; the lesser of several)."""
     chosen = labels.where(F.col(id_col).isNotNull() & F.col(label).isin(0, 1))
     if where is not None:
         chosen = chosen.where(where)
-    chosen = chosen.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(label).cast("int").alias("label"))
-    return chosen.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(rows)
+    return chosen.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(label).cast("int").alias("label"))
+
+
+def sample(labels: DataFrame, label: str, rows: int, where: Column | None = None, id_col: str = "doc_id", seed: int = 0) -> DataFrame:
+    """At most `rows` labelled ids, those with the least hashes: `id`, `label` (0 or 1; the lesser of several)."""
+    return labelled(labels, label, where, id_col).orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(rows)
 
 
 def with_text(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,11 +8,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import flat
-from .labelled import sample
+from .labelled import labelled
 from .scratch import settle
 
 # Characters that count as symbols.
@@ -27,6 +27,7 @@ _MARK[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in SYMBO
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MORE = ["n_upper", "n_marks"]
+AXES = ["symbols", "upper", "marks"]
 
 
 def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -101,9 +102,9 @@ def features(rows: pd.DataFrame) -> np.ndarray:
 
 
 def _expected(n: np.ndarray) -> np.ndarray:
-    """Mean path length of an unsuccessful search among n."""
+    """Mean path length of an unsuccessful search among n; n may be a mean itself."""
     n = np.maximum(np.asarray(n, dtype=np.float64), 1)
-    return np.where(n > 2, 2 * (np.log(np.maximum(n - 1, 1)) + np.euler_gamma) - 2 * (n - 1) / n, np.where(n == 2, 1.0, 0.0))
+    return np.where(n > 2, 2 * (np.log(np.maximum(n - 1, 1)) + np.euler_gamma) - 2 * (n - 1) / n, n - 1)
 
 
 @dataclass
@@ -111,70 +112,150 @@ class IsolationForest:
     """Trees of random splits; a point that few splits set apart has short paths.
 
     Splits fall anywhere in the box of all values seen, also where the points the trees grow on have none, so
-    that values those never take are set apart at once.
+    that values those never take are set apart at once. They don't depend on the points; these decide where a
+    walk ends: in the first node with one part in `size` of them, or less. Trees grow on all points that way and not on
+    a few hundred each, and the points need only be counted by leaf.
     """
 
     column: np.ndarray  # tree, node
     cut: np.ndarray
-    leaf: np.ndarray  # path length where a walk ends, else nan
-    mean: float
+    path: np.ndarray | None = None  # tree, leaf: length of a walk that ends there or above
+    mean: float = 1.0
 
     @classmethod
-    def fit(cls, x: np.ndarray, box: tuple[np.ndarray, np.ndarray], trees: int = 128, size: int = 256, depth: int = 10, seed: int = 0) -> IsolationForest:
+    def grow(cls, low: np.ndarray, high: np.ndarray, trees: int = 128, depth: int = 10, seed: int = 0) -> IsolationForest:
         rng = np.random.default_rng(seed)
-        size = min(size, len(x))
-        nodes = 2 ** (depth + 1) - 1
-        column, cut, leaf = np.zeros((trees, nodes), dtype=np.int64), np.zeros((trees, nodes)), np.full((trees, nodes), np.nan)
+        nodes = 2**depth - 1
+        column, cut = np.zeros((trees, nodes), dtype=np.int64), np.full((trees, nodes), np.inf)
         for t in range(trees):
-            todo = [(0, 0, x[rng.choice(len(x), size, replace=False)], *box)]
+            todo = [(0, low, high)]
             while todo:
-                node, level, own, low, high = todo.pop()
-                varied = np.flatnonzero(high > low)
-                if level == depth or len(own) <= 1 or not len(varied):
-                    leaf[t, node] = level + float(_expected(len(own)))
+                node, below, above = todo.pop()
+                varied = np.flatnonzero(above > below)
+                if not len(varied):
                     continue
                 c = int(rng.choice(varied))
-                column[t, node], cut[t, node] = c, rng.uniform(low[c], high[c])
-                left, top, bottom = own[:, c] < cut[t, node], high.copy(), low.copy()
-                top[c] = bottom[c] = cut[t, node]
-                todo += [(2 * node + 1, level + 1, own[left], low, top), (2 * node + 2, level + 1, own[~left], bottom, high)]
-        return cls(column, cut, leaf, float(_expected(size)) or 1.0)
+                column[t, node], cut[t, node] = c, rng.uniform(below[c], above[c])
+                if 2 * node + 1 < nodes:
+                    top, bottom = above.copy(), below.copy()
+                    top[c] = bottom[c] = cut[t, node]
+                    todo += [(2 * node + 1, below, top), (2 * node + 2, bottom, above)]
+        return cls(column, cut)
+
+    def leaves(self, x: np.ndarray) -> Iterator[np.ndarray]:
+        """Leaf of each row, tree by tree."""
+        rows, nodes = np.arange(len(x)), self.column.shape[1]
+        for column, cut in zip(self.column, self.cut, strict=True):
+            node = np.zeros(len(x), dtype=np.int64)
+            for _ in range((nodes + 1).bit_length() - 1):
+                node = 2 * node + 1 + (x[rows, column[node]] >= cut[node])
+            yield node - nodes
+
+    def ended(self, held: np.ndarray, size: int = 256) -> IsolationForest:
+        """The forest whose leaves hold so many points (tree, leaf)."""
+        n = int(held[0].sum())
+        size = min(size, n)
+        depth = held.shape[1].bit_length() - 1
+        path = np.zeros(held.shape)
+        walking = np.ones(held.shape, dtype=bool)
+        for level in range(depth + 1):
+            own = held.reshape(len(held), 2**level, -1).sum(2).repeat(2 ** (depth - level), 1)
+            ends = walking & ((own * size <= n) | (level == depth))
+            path[ends] = level + _expected(own[ends] * size / n)
+            walking &= ~ends
+        return IsolationForest(self.column, self.cut, path, float(_expected(size)) or 1.0)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """Anomaly of each row, from 0 to 1: two to the minus mean path length over the expected one."""
         total = np.zeros(len(x))
-        rows = np.arange(len(x))
-        for column, cut, leaf in zip(self.column, self.cut, self.leaf, strict=True):
-            node = np.zeros(len(x), dtype=np.int64)
-            walking = np.isnan(leaf[node])
-            while walking.any():
-                right = x[rows, column[node]] >= cut[node]
-                node = np.where(walking, 2 * node + 1 + right, node)
-                walking = np.isnan(leaf[node])
-            total += leaf[node]
-        return 2.0 ** (-total / len(self.leaf) / self.mean)
-
-
-def threshold(scores: np.ndarray, good: np.ndarray, lost: float) -> float:
-    """Anomaly above which documents go: best hit rate less false rate, losing at most `lost` of the good rows."""
-    if not good.any():
+        for leaf, path in zip(self.leaves(x), self.path, strict=True):
+            total += path[leaf]
+        return 2.0 ** (-total / len(self.path) / self.mean)
+
+
+def _leaf_counts(forest: IsolationForest):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shape = len(forest.column), forest.column.shape[1] + 1
+        held = np.zeros(shape, dtype=np.int64)
+        for rows in batches:
+            for own, leaf in zip(held, forest.leaves(rows[AXES].to_numpy()), strict=True):
+                own += np.bincount(leaf, minlength=shape[1])
+        place = np.flatnonzero(held)
+        yield pd.DataFrame({"place": place, "n": held.ravel()[place]})
+
+    return run
+
+
+def fit_forest(fit: DataFrame) -> IsolationForest | None:
+    """Forest grown on the rows of label 1, in the box of all rows; None without any of label 1."""
+    limits = [f(c) for f in (F.min, F.max) for c in AXES]
+    box = fit.agg(F.sum("label"), *limits).first()
+    if not box[0]:
+        return None
+    low, high = np.array(box[1:], dtype=np.float64).reshape(2, -1)
+    forest = IsolationForest.grow(low, high)
+    counted = fit.where("label = 1").select(*AXES).mapInPandas(_leaf_counts(forest), "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    held = np.zeros((len(forest.column), forest.column.shape[1] + 1), dtype=np.int64)
+    found = counted.toPandas()  # a row for each leaf at most
+    held.ravel()[found["place"]] = found["n"]
+    return forest.ended(held)
+
+
+def _ordered(scored: DataFrame, place: int, cells: int) -> float:
+    """The value of `score` at a place (from 0) of all rows in order: the cell that has it is cut again until it holds one value."""
+    low, high = 0.0, 1.0
+    while True:
+        cell = F.floor((F.col("score") - low) / (high - low) * cells)
+        found = scored.where(F.col("score").between(low, high)).groupBy(cell.alias("cell"))
+        rows = sorted(found.agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low"), F.max("score").alias("high")).collect())
+        for row in rows:
+            if place < row["n"]:
+                break
+            place -= row["n"]
+        if row["low"] == row["high"]:
+            return row["low"]
+        low, high = row["low"], row["high"]
+
+
+def threshold(scored: DataFrame, lost: float, cells: int = 1 << 14) -> float:
+    """Anomaly above which documents go: best hit rate less false rate, losing at most `lost` of the good rows.
+
+    Exact over all rows `(label, score)`. Only counts of the score's cells reach the driver; within a cell Spark adds them up in order.
+    """
+    cell = F.floor(F.col("score") * cells).cast("long").alias("cell")
+    counted = scored.groupBy("score").agg(F.sum(F.lit(1) - F.col("label")).alias("bad"), F.sum("label").alias("good")).withColumn("cell", cell)
+    sums = counted.groupBy("cell").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).toPandas()
+    n_bad, n_good = int(sums["bad"].sum()), int(sums["good"].sum())
+    if not n_good:
         return 1.0
-    floor = np.quantile(scores[good], 1 - lost)
-    bad = scores[~good]
-    best, found = 0.0, 1.0
-    for cut in np.unique(np.append(bad[bad > floor], floor)):
-        gain = float((bad > cut).mean() if len(bad) else 0) - float((scores[good] > cut).mean())
-        if gain > best:
-            best, found = gain, float(cut)
-    return found
-
-
-def apply_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, rows: int = 20000, lost: float = 0.01) -> DataFrame:
+    good = scored.where("label = 1")
+    at = (n_good - 1) * (1 - lost)
+    below, above = _ordered(good, int(at), cells), _ordered(good, min(int(at) + 1, n_good - 1), cells)
+    part = at - int(at)
+    floor = above - (above - below) * (1 - part) if part >= 0.5 else below + (above - below) * part
+    # the floor is a cut of its own, also where its cell has no rows
+    sums.loc[len(sums)] = [int(np.floor(floor * cells)), 0, 0]
+    sums = sums.groupby("cell", as_index=False).sum().sort_values("cell", ascending=False)
+    before = pd.DataFrame({"cell": sums["cell"], "more_bad": sums["bad"].cumsum() - sums["bad"], "more_good": sums["good"].cumsum() - sums["good"]})
+    up = Window.partitionBy("cell").orderBy(F.desc("score"))
+    before = scored.sparkSession.createDataFrame(before, "cell long, more_bad long, more_good long")
+    # rows above a cut are those of the cells above, and of the scores above it in its cell
+    own = scored.sparkSession.createDataFrame([(floor, 0, 0, int(np.floor(floor * cells)))], "score double, bad long, good long, cell long")
+    tallied = counted.unionByName(own).groupBy("cell", "score").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    tallied = tallied.withColumns({k: F.sum(k).over(up) - F.col(k) for k in ("bad", "good")} | {"is_bad": F.col("bad") > 0})
+    cuts = tallied.where((F.col("score") == floor) | (F.col("is_bad") & (F.col("score") > floor))).join(F.broadcast(before), "cell")
+    hits = (F.col("bad") + F.col("more_bad")) / F.lit(max(n_bad, 1)).cast("double")
+    false = (F.col("good") + F.col("more_good")) / F.lit(n_good).cast("double")
+    best = cuts.select((hits - false).alias("gain"), "score").orderBy(F.desc("gain"), "score").first()
+    return best["score"] if best["gain"] > 0 else 1.0
+
+
+def apply_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, lost: float = 0.01) -> DataFrame:
     """Documents with the rules' counts, `base_failed`, `anomaly` and `kept`.
 
     `base_failed`: under 20 words, or over 30 % of the words in repeated 8-word windows. `kept`: not that, and the
-    forest's anomaly does not exceed the threshold. The forest is grown on at most `rows` labelled documents of
-    quality 1, and the threshold is calibrated on those and the ones of quality 0 in the same sample, losing at
+    forest's anomaly does not exceed the threshold. The forest is grown on all labelled documents of quality 1 that
+    pass the base rules, and the threshold is calibrated on all of those and of quality 0, losing at
     most `lost` of the good ones. Without labelled rows nothing is anomalous.
 
     A null or empty text has no words and fails the base rule. Ids may be null or repeated; each row is judged
@@ -183,20 +264,25 @@ def apply_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     results = COUNTS + ["base_failed", "anomaly", "kept"]
     keep = [c for c in (keep if keep is not None else docs.columns) if c not in results]
     counted = settle(rule_counts(docs, id_col, text_col, keep), "rule-counts")
-    fit = counted.join(F.broadcast(sample(labels, "quality", rows, id_col=id_col)), "id").drop("row", "id")
-    fit = fit.orderBy(F.xxhash64(*COUNTS), *COUNTS).limit(rows).toPandas()
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    passing = ~((fit["n_words"] < 20) | (100 * fit["n_repeat_words"] > 30 * fit["n_words"]))
-    x, good = features(fit[passing]), fit.loc[passing, "label"].to_numpy() == 1
-    if good.any():
-        forest = IsolationForest.fit(x[good], (x.min(0), x.max(0)))
-        limit = threshold(forest.score(x), good, lost)
-    else:
-        forest, limit = None, 1.0
+
+    def axes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            yield pd.DataFrame(features(rows), columns=AXES).assign(label=rows["label"].to_numpy())
+
+    passing = counted.where(~failed).drop("row").join(labelled(labels, "quality", id_col=id_col), "id").drop("id")
+    fit = settle(passing.mapInPandas(axes, ", ".join(f"{c} double" for c in AXES) + ", label int"), "rule-labels")
+    forest, limit = fit_forest(fit), 1.0
 
     @F.pandas_udf("double")
     def anomaly(values: pd.DataFrame) -> pd.Series:
         return pd.Series(forest.score(features(values)) if forest else np.zeros(len(values)))
 
+    @F.pandas_udf("double")
+    def known(values: pd.DataFrame) -> pd.Series:
+        return pd.Series(forest.score(values[AXES].to_numpy()))
+
+    if forest:
+        limit = threshold(settle(fit.select("label", known(F.struct(*AXES)).alias("score")), "rule-scores"), lost)
     scored = counted.withColumn("base_failed", failed).withColumn("anomaly", anomaly(F.struct(*COUNTS, *MORE)))
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= F.lit(limit))).select("row.*", *results)
