@@ -8,7 +8,7 @@ from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from postmill.operators.markers import marker_scores
+from postmill.operators.markers import _Searcher, marker_scores
 from postmill.plans.collect import failed_orgs, org_rows
 from postmill.plans.plugins import Plugin, first_orgs, number_listings, plugin_function, run_plugins
 
@@ -82,3 +82,20 @@ def test_marker_scores(spark, automaton_bytes):
     assert {r.id: (r.hits, r.score) for r in found.collect()} == expected
     none = marker_scores(given, spark.createDataFrame([], "marker string, weight int"), ["id"], "text")
     assert {(r.hits, r.score) for r in none.collect()} == {(0, 0)}
+
+
+@pytest.mark.parametrize("prefix, shared", [(1, 1), (2, 3), (3, 100)])
+def test_markers_behind_shared_prefixes(prefix, shared):
+    pick = random.Random(prefix)
+    markers = sorted({"".join(pick.choice("abé") for _ in range(pick.randint(1, 9))) for _ in range(200)}, key=lambda _: pick.random())
+    search = _Searcher(markers, prefix, shared)
+    for _ in range(50):
+        text = "".join(pick.choice("abéc") for _ in range(pick.randint(0, 60)))
+        assert {search.markers[k] for k in search.places(text)} == {m for m in markers if m in text}
+    assert _Searcher([]).places("abc") == set()
+
+
+def test_long_markers_take_few_nodes():
+    pick = random.Random(0)
+    markers = ["".join(pick.choice("abcdefghijklmnop ") for _ in range(60)) for _ in range(2000)]
+    assert _Searcher(markers).groups.get_stats()["nodes_count"] <= 12 * len(markers) + 1
