@@ -2,7 +2,8 @@
 
 A stateless stage first turns each batch of attempts into runs: neighbouring positions that were all limited, or
 all not. Only runs enter the state operator, so a hot organisation costs a row for each change and not for each
-attempt. What comes out is one row for each breaker that opens; `with_openings` labels attempts with it.
+attempt. Organisations share the state of their bucket, which is read and written once a batch; calls for each organisation
+took most of the time. What comes out is one row for each breaker that opens; `with_openings` labels attempts with it.
 """
 
 import sys
@@ -24,7 +25,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OPENING = "org_abbrev string, open_at bigint"
 _RUNS = "org_abbrev string, first bigint, hits bigint, lead array<bigint>"
-_STATE = "streak bigint, open_at bigint, seen_ms bigint"
+_STATE = "org_abbrev array<string>, streak array<bigint>, open_at array<bigint>, seen_ms array<bigint>"
+BUCKETS = 1024
 _STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -64,9 +66,10 @@ def limited_runs(attempts: DataFrame, threshold: int = C.BREAKER_THRESHOLD) -> D
 
 
 class Breaker(StatefulProcessor):
-    """Counts the limited attempts in a row of an organisation; it stays open once the threshold is reached.
+    """Counts the limited attempts in a row of each organisation of a bucket; a breaker stays open once the threshold is reached.
 
-    State that has not been touched for `idle` milliseconds has expired: the organisation starts anew.
+    State that has not been touched for `idle` milliseconds has expired: the organisation starts anew. Organisations
+    without a streak or an opening are not kept.
     """
 
     def __init__(self, threshold: int, idle: int | None):
@@ -77,48 +80,54 @@ class Breaker(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         now = time.time_ns() // 1_000_000
-        streak, open_at, seen = self.state.get() if self.state.exists() else (0, None, now)
-        if self.idle is not None and now - seen > self.idle:
-            streak, open_at = 0, None
-        opened = None
-        if open_at is None:
-            runs = pd.concat(rows).sort_values("first")
-            for hits, lead in zip(runs["hits"], runs["lead"]):
+        held = {org: kept for org, *kept in zip(*self.state.get())} if self.state.exists() else {}
+        if self.idle is not None:
+            held = {org: kept for org, kept in held.items() if now - kept[2] <= self.idle}
+        opened = {}
+        runs = pd.concat(rows).sort_values("first")
+        for org, hits, lead in zip(runs["org_abbrev"].tolist(), runs["hits"].tolist(), runs["lead"]):
+            streak, open_at, _ = held.get(org, (0, None, now))
+            if open_at is None:
                 if not hits:
                     streak = 0
-                    continue
-                if streak + hits >= self.threshold:
-                    opened = open_at = int(lead[self.threshold - streak - 1])
-                    break
-                streak += int(hits)
-        self.state.update((int(streak), open_at, now))
-        if opened is not None:
-            yield pd.DataFrame({"org_abbrev": [key[0]], "open_at": [opened]})
+                elif streak + hits >= self.threshold:
+                    opened[org] = open_at = int(lead[self.threshold - streak - 1])
+                else:
+                    streak += hits
+            if streak or open_at is not None:
+                held[org] = [streak, open_at, now]
+            else:
+                held.pop(org, None)
+        columns = [list(column) for column in zip(*held.values())] or [[], [], []]
+        self.state.update((list(held), *columns))
+        if opened:
+            yield pd.DataFrame({"org_abbrev": list(opened), "open_at": list(opened.values())})
 
     def close(self) -> None:
         pass
 
 
 def breaker_openings(
-    attempts: DataFrame, threshold: int = C.BREAKER_THRESHOLD, idle: int | None = None
+    attempts: DataFrame, threshold: int = C.BREAKER_THRESHOLD, idle: int | None = None, buckets: int = BUCKETS
 ) -> DataFrame:
     """Stream of openings `(org_abbrev, open_at)` of a stream of attempts.
 
     Positions must rise from batch to batch; a late lower position is judged against the state it meets. After `idle`
-    milliseconds without attempts an organisation starts anew; its one small row of state is replaced then. (Time-driven
-    clean-up needs the processing-time mode, in which an `availableNow` run never ends.)
+    milliseconds without attempts an organisation starts anew; its state is dropped when its bucket is next touched. (Time-driven
+    clean-up needs the processing-time mode, in which an `availableNow` run never ends.) `buckets` is fixed for the life of a
+    checkpoint: choose it so that a bucket has some thousands of organisations at most.
     """
     attempts.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _STORE)
-    return limited_runs(attempts, threshold).groupBy("org_abbrev").transformWithStateInPandas(
-        Breaker(threshold, idle), OPENING, "Append", "None"
-    )
+    runs = limited_runs(attempts, threshold).withColumn("bucket", F.pmod(F.xxhash64("org_abbrev"), F.lit(buckets)))
+    return runs.groupBy("bucket").transformWithStateInPandas(Breaker(threshold, idle), OPENING, "Append", "None")
 
 
 def run_breaker(
-    attempts: DataFrame, path: str, checkpoint: str, threshold: int = C.BREAKER_THRESHOLD, idle: int | None = None
+    attempts: DataFrame, path: str, checkpoint: str, threshold: int = C.BREAKER_THRESHOLD, idle: int | None = None,
+    buckets: int = BUCKETS,
 ) -> int:
     """Append the openings of everything that has landed to `path`; the number of attempts read."""
-    writer = breaker_openings(attempts, threshold, idle).writeStream.format("parquet").outputMode("append")
+    writer = breaker_openings(attempts, threshold, idle, buckets).writeStream.format("parquet").outputMode("append")
     running = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
     running.awaitTermination()
     return sum(progress.numInputRows for progress in running.recentProgress)

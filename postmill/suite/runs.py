@@ -16,7 +16,7 @@ from postmill.plans.plugins import first_orgs
 from postmill.plans.quality import rendered, violations
 from postmill.plans.resolution import resolve, with_attempts, with_outcome
 from postmill.schemas import EVENT, STATE
-from postmill.session import scratch_path
+from postmill.session import scratch_path, settle
 from postmill.sinks.artifacts import append_events, write_postings, write_state
 from postmill.sinks.run import write_run
 from postmill.sources.artifacts import read_org_blocks, read_state
@@ -756,6 +756,7 @@ def streamed_breaker(spark, folder):
     rows = attempts(spark, folder).select(
         F.col("org_id").cast("string").alias("org_abbrev"), "event_id", "job_index", "is_limited", "is_cached"
     )
+    rows = settle(rows, "attempts")  # numbered once, not for each portion
     for portion in range(3):
         part = F.least(F.floor((F.col("job_index") - 1) / 20), F.lit(2)) == portion
         rows.filter(part).write.mode("append").parquet(f"{home}/in")

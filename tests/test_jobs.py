@@ -28,7 +28,7 @@ from postmill.sources.registry import find_orgs, merge_registries, registry_fram
 from postmill.sources.rules import rules_frame
 from postmill.sources.search_pages import facet_listings, simple_failures, simple_listings, table_failures, table_listings
 from postmill.sinks.run import write_run
-from postmill.streaming.breaker import OPENING, limited_runs, run_breaker, with_openings
+from postmill.streaming.breaker import OPENING, breaker_openings, limited_runs, run_breaker, with_openings
 from postmill.streaming.jobs import append_stream, late_listings, latest_counters, new_listings, org_counters, write_counters
 
 NOW = dt.datetime(2026, 1, 2, 3, 4, 5)
@@ -534,6 +534,21 @@ def test_streamed_breaker_carries_its_state(spark, rows, tmp_path, seed):
     assert sorted(map(tuple, openings.collect())) == sorted({(r.org_abbrev, r.open_at) for r in whole.collect() if r.open_at is not None})
 
 
+def test_organisations_share_the_state_of_their_bucket(spark, rows, tmp_path):
+    found = set()
+    for batch in range(3):
+        part = [(f"o{k}" if k else None, batch + 1, k % 3 > 0, False) for k in range(90)]
+        rows(ATTEMPT, *part).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = breaker_openings(spark.readStream.schema(ATTEMPT).parquet(f"{tmp_path}/in"), 3, buckets=4)
+        writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{tmp_path}/c")
+        running = writer.trigger(availableNow=True).start(f"{tmp_path}/out")
+        running.awaitTermination()
+        assert 0 < max(p.stateOperators[0].numRowsTotal for p in running.recentProgress) <= 4
+        found = {tuple(r) for r in spark.read.schema(OPENING).parquet(f"{tmp_path}/out").collect()}
+        assert batch == 2 or not found
+    assert found == {(f"o{k}", 3) for k in range(90) if k % 3 > 0}
+
+
 def test_idle_breaker_state_expires(spark, rows, tmp_path):
     def land(name, *attempts):
         rows(ATTEMPT, *attempts).write.mode("append").parquet(f"{tmp_path}/{name}")
