@@ -2,6 +2,7 @@
 
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,3 +212,12 @@ def test_no_exchange_carries_html(rows, spark, capsys):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     exchanges = [part for part in capsys.readouterr().out.split("\n\n") if ") Exchange" in part and "Input" in part]
     assert exchanges and not any("html#" in part or "outline#" in part for part in exchanges)
+
+
+def test_pages_reach_python_in_batches_of_few_bytes(spark):
+    @F.arrow_udf("bigint")
+    def together(pages):
+        return pa.array([pages.nbytes] * len(pages), pa.int64())
+
+    pages = spark.range(0, 300, 1, 1).select(F.repeat(F.col("id").cast("string"), F.lit(60_000)).alias("html"))
+    assert pages.select(together.asNondeterministic()("html").alias("n")).agg(F.max("n")).first()[0] <= 6 << 20
