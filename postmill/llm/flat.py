@@ -88,11 +88,21 @@ def range_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 def coded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.DictionaryArray:
     """Slices of bytes as a dictionary and places in it."""
     size = ends - starts
-    body = np.ascontiguousarray(data[ragged(starts, size)])
+    if len(starts) and (starts[1:] == ends[:-1]).all():  # they lie one after the other
+        body = np.ascontiguousarray(data[starts[0] : ends[-1]])
+    else:
+        body = np.ascontiguousarray(data[ragged(starts, size)])
     offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(body)]).dictionary_encode()
 
 
+def picked(data: np.ndarray, size: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """Of slices of bytes that lie one after the other, those at `index`."""
+    offsets = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    slices = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+    return flat(slices.take(pa.array(index, pa.int64())))[0]
+
+
 def slice_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Equal numbers for slices of equal bytes, and for no others."""
     return coded(data, starts, ends).indices.to_numpy().astype(np.int64)

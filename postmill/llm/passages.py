@@ -30,7 +30,7 @@ from .scratch import settle, shards
 
 # Heaviest anchors listed by each reducer: each has an eighth of its entries, and so many occurrences, at least.
 HEAVY, HEAVY_COUNT = 8, 4096
-# Entries, and bytes of passages, that a map buffer holds.
+# Entries and their documents, and bytes of passages, that a map buffer holds.
 BUFFER_ROWS, BUFFER_BYTES = 1 << 20, 16 << 20
 SHARD_BYTES = 16 << 20
 
@@ -92,9 +92,8 @@ class Passages:
         return cls(*(np.concatenate([getattr(p, k) for p in parts]) if parts else np.zeros(0, kind) for k, kind in cls.FIELDS))
 
     def take(self, index: np.ndarray) -> Passages:
-        starts = np.cumsum(self.size, dtype=np.int64) - self.size
         rows = [getattr(self, k)[index] for k, _ in self.FIELDS[:-1]]
-        return Passages(*rows, self.body[flat.ragged(starts[index], self.size[index].astype(np.int64))])
+        return Passages(*rows, flat.picked(self.body, self.size, index))
 
     def again(self) -> np.ndarray:
         """Mask of passages that are the one before once more: a row repeated in the table."""
@@ -134,10 +133,13 @@ def _anchors(unit: Unit, buckets: int):
     """Step 1: entries by bucket. `times` is 0 for a later occurrence in the buffer, which needs no answer."""
 
     def flush(parts):
-        anchor, doc, twin, place, first, twice = (np.concatenate(x) for x in zip(*parts, strict=True))
-        docs, back = np.unique(np.stack([doc, twin], 1), axis=0, return_inverse=True)
+        anchor, text, first, twice, doc, twin = zip(*parts, strict=True)
+        rows = np.cumsum([0, *map(len, doc)])
+        place = np.concatenate([t + at for t, at in zip(text, rows, strict=False)])
+        anchor, first, twice, doc, twin = (np.concatenate(x) for x in (anchor, first, twice, doc, twin))
+        docs = np.stack([doc, twin], 1)
         order = np.argsort(anchor, kind="stable")
-        anchor, place, first = anchor[order], back.ravel()[order].astype(np.uint32), first[order].astype(np.uint32)
+        anchor, place, first = anchor[order], place[order].astype(np.uint32), first[order].astype(np.uint32)
         head = np.ones(len(anchor), dtype=bool)
         head[1:] = anchor[1:] != anchor[:-1]
         times = np.zeros(len(anchor), dtype=np.uint32)
@@ -162,10 +164,12 @@ def _anchors(unit: Unit, buckets: int):
         parts, size = [], 0
         for batch in batches:
             docs, twins = batch.column("doc").to_numpy(), batch.column("twin").to_numpy()
-            for a, _, data, bounds in flat.groups(batch):
+            for a, b, data, bounds in flat.groups(batch):
                 text, first, _, anchor, twice, _, _ = unit.runs(data, bounds)
-                parts.append((anchor, docs[a + text], twins[a + text], text, first, twice))
-                size += len(anchor)
+                if not len(anchor):
+                    continue
+                parts.append((anchor, text, first, twice, docs[a:b], twins[a:b]))
+                size += len(anchor) + b - a
                 if size >= BUFFER_ROWS:
                     yield from flush(parts)
                     parts, size = [], 0
@@ -295,11 +299,11 @@ def _ship(unit: Unit, heavy: np.ndarray, buckets: int):
                 if not len(n):
                     continue
                 single = np.isin(anchor, heavy)
-                times = np.where(single, n, 1)
-                k = flat.ragged(np.zeros(len(n), dtype=np.int64), times)
-                text, first, n, anchor, single = (np.repeat(x, times) for x in (text, first, n, anchor, single))
-                first, n = first + k, np.where(single, 1, n)
                 if single.any():
+                    times = np.where(single, n, 1)
+                    k = flat.ragged(np.zeros(len(n), dtype=np.int64), times)
+                    text, first, n, anchor, single = (np.repeat(x, times) for x in (text, first, n, anchor, single))
+                    first, n = first + k, np.where(single, 1, n)
                     anchor[single] = content(text[single], first[single], n[single])
                 size, body = cut(text, first, n)
                 parts.append(Passages(docs[a + text], twins[a + text], first, n.astype(np.int32), anchor, size.astype(np.int32), body))

@@ -45,7 +45,7 @@ def _answer(window: int):
         text[flat.ragged(begin, lengths)] += own.body.astype(np.int32) + 2
         text[begin + lengths] += 1
         order = suffix_arrays(text, begin[head])
-        shared = common_prefixes(text, order, window)[order] >= window
+        shared = common_prefixes(text, order, window, begin[head])[order] >= window
         group = np.cumsum(~shared, dtype=np.int32)  # equal for suffixes that share `window` bytes
         several = shared.copy()
         several[:-1] |= shared[1:]

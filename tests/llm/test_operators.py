@@ -139,6 +139,36 @@ def test_suffix_arrays(strings, few):
         assert shared[b] == n
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 5), max_size=60).map(lambda s: s * 3), min_size=1, max_size=4), st.sampled_from([0, 24]))
+def test_suffixes_are_induced_once(strings, few):
+    """Symbols scanned grow with the text alone, also where passages are equal."""
+    strings = [[*s, 0] for s in strings]
+    starts = np.cumsum([0, *map(len, strings)])[:-1]
+    text = np.concatenate([np.array(s) + 6 * k for k, s in enumerate(strings)])
+    induced, scan = [], suffix_sort._induce
+
+    def counted(text, *rest):
+        induced.append(len(text))
+        return scan(text, *rest)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(suffix_sort, "FEW", few)
+        patch.setattr(suffix_sort, "_induce", counted)
+        order = suffix_sort.suffix_arrays(text, starts)
+    assert order.tolist() == [starts[k] + i for k, s in enumerate(strings) for i in sorted(range(len(s)), key=lambda i: s[i:])]  # noqa: B023
+    assert induced == [len(text)]
+    plain = suffix_sort.common_prefixes(text.astype(np.int32), order, 20)
+    assert suffix_sort.common_prefixes(text.astype(np.int32), order, 20, starts).tolist() == plain.tolist()
+
+
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 3)), min_size=1, max_size=50))
+def test_pairs_are_sorted_with_and_without_room_for_the_place(pairs):
+    high, low = np.array(pairs).T
+    expected = sorted(range(len(pairs)), key=lambda k: pairs[k])
+    assert [suffix_sort._order(high, low, bits).tolist() for bits in (2, 60)] == [expected] * 2
+
+
 def simhash(text):
     words = re.findall(WORD, "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
     hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + 4]), 42) for i in range(max(len(words) - 3, 1))] if words else []
